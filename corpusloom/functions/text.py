@@ -67,7 +67,7 @@ def casefold_col(text: Column, full: bool = True) -> Column:
 
 def word_tokens(text: Column) -> Column:
     """Words with inner hyphens, dots and slashes, as used for tokens per word."""
-    return F.regexp_extract_all(text, F.lit(r"(?U)(\w+(?:[-./]\w+)*)"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+(?:[-./][\p{L}\p{N}_]+)*)"), F.lit(1))
 
 
 def story_words(text: Column) -> Column:
@@ -82,8 +82,9 @@ def story_sentences(text: Column) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Runs of ``n`` words as arrays; empty where there are fewer words."""
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.slice(words, i, n))).otherwise(F.array().cast("array<array<string>>"))
+    """Runs of ``n`` words, each joined by blanks (arrays of strings are compared by hash, arrays of arrays one by one); empty where there are fewer words."""
+    joined = lambda i: F.array_join(F.slice(words, i, n), " ")
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), joined)).otherwise(F.array().cast("array<string>"))
 
 
 def extra_occurrences(items: Column) -> Column:
