@@ -55,8 +55,8 @@ def sample_reviews(generations: DataFrame, per_checkpoint: int, seed: int, batch
     draw = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(checkpoint).cast("string"), F.col(id_).cast("string")), 256)
     over = Window.partitionBy(checkpoint)
     ranked = generations.withColumn("_k", draw).withColumn("_r", F.row_number().over(over.orderBy("_k"))).filter(F.col("_r") <= per_checkpoint)
-    short = F.when(F.count("*").over(over) < per_checkpoint, F.raise_error(F.concat(F.lit("too few generations: "), F.col(checkpoint).cast("string"))).cast("int")).otherwise(F.col("_r"))
-    ranked = ranked.withColumn("_r", short)
+    short = F.raise_error(F.concat(F.lit("too few generations: "), F.col(checkpoint).cast("string"))).cast("boolean")
+    ranked = ranked.withColumn("_c", F.count("*").over(over)).filter(F.when(F.col("_c") < per_checkpoint, short).otherwise(True)).drop("_c")
     number = F.row_number().over(Window.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("_k")), 256)))
     out = ranked.withColumn("_n", number)
     return out.withColumn("review_id", F.format_string("review-%04d", "_n")).withColumn("batch", F.floor((F.col("_n") - 1) / batch).cast("int")).drop("_k", "_r", "_n")

@@ -70,5 +70,5 @@ def phase_of(rows: DataFrame, phases: list[tuple[str, int]], tokens: str = "toke
 def phase_join(rows: DataFrame, phases: DataFrame, tokens: str = "tokens_processed", limit: str = "until_tokens", name: str = "phase") -> DataFrame:
     """The same with a table of phases, a dimension of a few rows: it is put into one sorted array, in which every row finds its phase."""
     rows_ = phases.agg(F.array_sort(F.collect_list(F.struct(F.col(limit).alias("l"), F.col(name).alias("p")))).alias("_ps"))  # one row
-    pick = F.coalesce(F.element_at(F.filter("_ps", lambda x: x["l"] > F.col(tokens)), 1), F.element_at("_ps", -1))
+    pick = F.coalesce(F.get(F.filter("_ps", lambda x: x["l"] > F.col(tokens)), 0), F.try_element_at("_ps", F.lit(-1)))
     return rows.join(F.broadcast(rows_), F.lit(True)).withColumn("phase", pick["p"]).drop("_ps")

@@ -66,3 +66,30 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that workers can import it wherever they run."""
+    import os
+    import zipfile
+
+    import corpusloom
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(corpusloom.__file__))
+    folder = tempfile.mkdtemp(prefix="corpusloom-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "corpusloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for base, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    out.write(path, os.path.join("corpusloom", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
