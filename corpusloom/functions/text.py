@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
-_LINE_TAIL = re.compile(r"[^\S\n]+(?=\n)")
 _BLANK_RUN = re.compile(r"\n{3,}")
 #: Text made only of these code points is its own NFKC form: ASCII, and letters of Latin-1 and Latin Extended-A that don't decompose by compatibility.
 _NFKC_SAFE = r"^[\x00-\x7f¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž‐‒-‖‘-‟†-•一-龥、-〩]*$"
@@ -25,8 +24,8 @@ def tidy(text: str) -> str:
     """The steps of normalization after NFKC."""
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    text = _CONTROL.sub("", text)
-    return _BLANK_RUN.sub("\n\n", _LINE_TAIL.sub("", text.strip()))
+    text = "\n".join(map(str.rstrip, _CONTROL.sub("", text).split("\n"))).strip()
+    return _BLANK_RUN.sub("\n\n", text) if "\n\n\n" in text else text
 
 
 def normalize(text: str) -> str:
