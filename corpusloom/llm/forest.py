@@ -77,14 +77,14 @@ def entries(signed: DataFrame, depth: int) -> DataFrame:
 class HashForest:
     """Runs of accepted texts, by kind (``documents``, ``incoming`` ...): a kind names where the texts of its ids are.
 
-    ``recall`` is the probability with which a search finds a pair of the given ``similarity``; it fixes, for the shortest
-    prefix of ``shortest`` hashes, how many trees there are. More similar pairs are found with more.
+    ``recall`` is the probability with which a search finds a pair of the given ``similarity``, more similar pairs being found
+    with more. It fixes how many trees there are: as many as reach it with prefixes of ``shortest`` hashes.
     """
 
     spark: SparkSession
     ngram: int = 3
     similarity: float = 0.6
-    recall: float = 0.9999
+    recall: float = 0.999
     shortest: int = 4
     max_runs: int = 4
     runs: list[tuple[str, str]] = field(default_factory=list)
@@ -114,18 +114,35 @@ class HashForest:
         rows.repartition(n, "tree", "stem").write.bucketBy(n, "tree", "stem").sortBy("tree", "stem", "label").option("path", new_path(self.spark, "run")).saveAsTable(name)
         self.runs.append((kind, name))
 
-    def locate(self, signed: DataFrame, depth: int) -> DataFrame:
-        """(id, kind, other): entries of the forest in the range of ``depth`` hashes around the labels of a batch.
+    def depth(self, recall: float) -> int:
+        """The longest prefix with which the trees there are reach a recall: prefixes widen, one hash at a time, until it is met."""
+        depth = DEPTH
+        while depth > self.shortest and K.bands_for(self.similarity, depth, recall) > self.trees:
+            depth -= 1
+        return depth
 
-        Similarity can't exceed the ratio of the two sizes, so pairs whose sizes are further apart are left out.
+    def locate(self, signed: DataFrame, records: int, kinds: tuple[str, ...] | None = None, recall: float | None = None) -> DataFrame | None:
+        """(id, kind, other): entries of the forest within the range of a common prefix around the labels of a batch of ``records`` texts, the
+        prefix being wide enough for the recall.
+
+        Similarity can't exceed the ratio of the two sizes, so pairs whose sizes are further apart are left out. While the labels of the batch
+        fit into the tasks' memory they are hashed and the runs stream by; a larger batch is sorted and merged with them.
         """
-        probe = entries(signed, self.shortest).select("tree", "stem", F.col("label").alias("l"), F.col("id").alias("i"), F.col("n").alias("m"))
+        depth = self.depth(self.recall if recall is None else recall)
+        step = 1 << (BITS * (DEPTH - depth))
+        low = F.col("label") - F.pmod(F.col("label"), F.lit(step))
+        probe = entries(signed, self.shortest).select("tree", "stem", low.alias("low"), (low + step).alias("high"), F.col("id").alias("i"), F.col("n").alias("m"))
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if records * self.trees * 64 / partitions <= 32 << 20:
+            probe = probe.hint("shuffle_hash")
         out = None
         for kind, name in self.runs:
-            close = (prefix(F.col("label"), depth) == prefix(F.col("l"), depth)) & (F.least("n", "m") >= F.lit(self.similarity) * F.greatest("n", "m"))
+            if kinds is not None and kind not in kinds:
+                continue
+            close = (F.col("label") >= F.col("low")) & (F.col("label") < F.col("high")) & (F.least("n", "m") >= F.lit(self.similarity) * F.greatest("n", "m"))
             hits = probe.join(self.spark.table(name), ["tree", "stem"]).filter(close).select(F.col("i").alias("id"), F.lit(kind).alias("kind"), F.col("id").alias("other"))
             out = hits if out is None else out.unionByName(hits)
-        return out.distinct()
+        return None if out is None else out.distinct()
 
 
 def resolve(edges: DataFrame) -> DataFrame:
@@ -148,11 +165,12 @@ def resolve(edges: DataFrame) -> DataFrame:
 
 @dataclass
 class BatchDeduper:
-    """Marks the records of batch after batch, each against everything accepted before it.
+    """Marks new batches, each against everything accepted before it.
 
     ``accepted`` holds (sha): lower-case hex SHA-256 of accepted texts; ``documents`` (id, text) the texts that are still
-    there. Only documents whose hash is accepted are history. They are signed and sorted once; a batch then costs its own
-    signing, a range search for its labels, and reading the texts of what was located.
+    there. Only documents whose hash is accepted are history. They are signed and sorted once; each call of :meth:`mark` then costs
+    the signing of its own records, a range search for their labels, and reading the texts that were located. Its new records
+    become a run of the forest for the next call.
     """
 
     spark: SparkSession
@@ -163,108 +181,96 @@ class BatchDeduper:
 
     def __post_init__(self) -> None:
         self.documents = self.documents.filter("id is not null and text is not null")
-        signed = self.forest.sign(self.documents).join(self.accepted, "sha", "left_semi")
-        signed = store(signed, "history")
+        signed = store(self.forest.sign(self.documents).join(self.accepted, "sha", "left_semi"), "history")
         first = signed.groupBy("sha").agg(F.min("id").alias("id")).select("id")
         self.forest.add("documents", signed.join(first, "id", "left_semi"))
         self.texts = {"documents": self.documents}
+        self.fresh: DataFrame | None = None
 
     def _sets(self, kind: str, ids: DataFrame) -> DataFrame:
         return gram_sets(only(self.texts[kind], ids), self.forest.ngram)
 
-    def _confirm(self, pairs: DataFrame) -> DataFrame:
-        """(a, b) of stored pairs (id, kind, other) that are near-same by all n-grams of the whole texts."""
-        mine = store(self._sets("incoming", store(pairs.select("id").distinct(), "ids")), "sets")
+    def _near(self, unit: DataFrame, records: int, kinds: tuple[str, ...] | None = None) -> DataFrame:
+        """(id) of the unit's records that are near-same to an entry of the forest, by all n-grams of the whole texts."""
+        located = self.forest.locate(unit, records, kinds)
+        if located is None:
+            return unit.select("id").limit(0)
+        pairs = store(located, "located")
         out = None
-        for kind in self.texts:
+        for kind in dict.fromkeys(k for k, _ in self.forest.runs if kinds is None or k in kinds):
             some = pairs.filter(F.col("kind") == kind).select(F.col("id").alias("a"), F.col("other").alias("b"))
-            theirs = self._sets(kind, store(some.select(F.col("b").alias("id")).distinct(), "ids"))
-            found = verify(some, mine, theirs, self.forest.similarity).select("a", "b")
+            mine, theirs = self._sets("incoming", some.select(F.col("a").alias("id"))), self._sets(kind, some.select(F.col("b").alias("id")))
+            found = verify(some, mine, theirs, self.forest.similarity).select(F.col("a").alias("id"))
             out = found if out is None else out.unionByName(found)
-        return out
-
-    def _against_history(self, unit: DataFrame) -> DataFrame:
-        """(id) of the unit's records near-same to an entry of the forest. Prefixes widen from the longest to the shortest; each step
-        takes the records that no longer prefix has settled."""
-        settled = None
-        for depth in range(DEPTH, self.forest.shortest - 1, -1):
-            rest = unit if settled is None else unit.join(settled, "id", "left_anti")
-            pairs = store(self.forest.locate(rest, depth), "located")
-            found = store(self._confirm(pairs).select(F.col("a").alias("id")).distinct(), "settled")
-            settled = found if settled is None else settled.unionByName(found)
-        return settled
-
-    def _unit(self, unit: DataFrame) -> DataFrame:
-        """(id) of the cases in a stored unit of distinct texts; the others join the forest."""
-        rows = entries(unit, self.forest.shortest)
-        top = rows.groupBy("tree", "stem").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        return store(out.distinct(), "near")
+
+    def _settle(self, new: DataFrame) -> DataFrame:
+        """(id) of the cases within a stored unit of distinct texts, none of which is near-same to the forest; the others join it."""
+        mine = entries(new, self.forest.shortest)
+        top = mine.groupBy("tree", "stem").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
         if top > self.hot:
-            # a group of near-copies: an early part leaves few texts of the group in the forest, against which the rest is searched
-            cut_at = unit.approxQuantile("id", [0.125], 0.01)[0]
-            head, tail = unit.filter(F.col("id") <= cut_at), unit.filter(F.col("id") > cut_at)
+            # a group of near-copies: an early part leaves few texts of the group in the forest, against which the rest is searched first
+            cut_at = new.approxQuantile("id", [0.125], 0.01)[0]
+            head, tail = new.filter(F.col("id") <= cut_at), new.filter(F.col("id") > cut_at)
             if not head.isEmpty() and not tail.isEmpty():
-                return self._unit(head).unionByName(self._unit(tail))
-        old = self._against_history(unit)
-        new = store(unit.join(old, "id", "left_anti"), "new")
-        mine = entries(new, self.forest.shortest)
+                early = self._settle(head)
+                near = self._near(tail, tail.count(), ("incoming",))
+                return early.unionByName(near).unionByName(self._settle(store(tail.join(near, "id", "left_anti"), "new")))
         lo = mine.select("tree", "stem", F.col("id").alias("lo"), F.col("n").alias("nl"))
         hi = mine.select("tree", "stem", F.col("id").alias("hi"), F.col("n").alias("nh"))
         close = (F.col("lo") < F.col("hi")) & (F.least("nl", "nh") >= F.lit(self.forest.similarity) * F.greatest("nl", "nh"))
-        pairs = store(lo.join(hi, ["tree", "stem"]).filter(close).select(F.col("hi").alias("id"), F.lit("incoming").alias("kind"), F.col("lo").alias("other")).distinct(), "pairs")
-        sets = store(self._sets("incoming", store(pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct(), "ids")), "sets")
-        links = verify(pairs.select(F.col("id").alias("a"), F.col("other").alias("b")), sets, sets, self.forest.similarity)
+        pairs = store(lo.join(hi, ["tree", "stem"]).filter(close).select(F.col("hi").alias("a"), F.col("lo").alias("b")).distinct(), "pairs")
+        sets = store(self._sets("incoming", pairs.select(F.explode(F.array("a", "b")).alias("id"))), "pair-sets")
+        links = verify(pairs, sets, sets, self.forest.similarity)
         cases = store(resolve(links.select(F.col("b").alias("lo"), F.col("a").alias("hi"))), "unit-cases")
         self.forest.add("incoming", new.join(cases, "id", "left_anti").select("id", "n", "labels"))
-        return old.unionByName(cases)
+        return cases
 
-    def mark(self, incoming: DataFrame, max_units: int = 8) -> DataFrame:
-        """(id, reason) of rows (id, batch, given, text): reason is null for new records, else ``hash`` (its normalized text's hash or
-        the given one is accepted), ``same`` (the text of an earlier incoming record) or ``near`` (near-same to an accepted document or
-        to an earlier incoming record that is new). Batches go in order, in at most ``max_units`` units of consecutive batches."""
+    def mark(self, incoming: DataFrame) -> DataFrame:
+        """(id, reason) of rows (id, given, text), all of them later than those of the calls before; ids give the order of arrival. ``reason`` is null for
+        new records, else ``hash`` (its normalized text's hash or the given one is accepted), ``same`` (the text of an earlier incoming record) or
+        ``near`` (near-same to an accepted document or to an earlier incoming record that is new)."""
         rows = incoming.dropDuplicates(["id"])
-        self.texts["incoming"] = rows.filter("text is not null").select("id", "text")
-        signed = self.forest.sign(rows.select("id", "text", F.coalesce(F.col("batch"), F.lit(0)).cast("long").alias("batch"), F.lower(F.trim("given")).alias("given")))
+        texts = rows.filter("text is not null").select("id", "text")
+        self.texts["incoming"] = texts if "incoming" not in self.texts else self.texts["incoming"].unionByName(texts)
+        signed = self.forest.sign(rows.select("id", "text", F.lower(F.trim("given")).alias("given")))
         known = self.accepted.select(F.col("sha").alias("h")).distinct()
         by_hash = signed.select("id", F.explode(F.array("sha", "given")).alias("h")).filter("h is not null").join(known, "h", "left_semi").select("id").distinct().withColumn("by_hash", F.lit(True))
-        signed = store(signed.join(by_hash, "id", "left").withColumn("by_hash", F.coalesce("by_hash", F.lit(False))), "batch")
-        first = signed.filter("not by_hash and sha is not null").groupBy("sha").agg(F.min("id").alias("rep"))
+        signed = signed.join(by_hash, "id", "left").withColumn("by_hash", F.coalesce("by_hash", F.lit(False)))
+        old = F.lit(False)
+        if self.fresh is not None:
+            signed = signed.join(self.fresh.withColumn("_old", F.lit(True)), "sha", "left")
+            old = F.coalesce("_old", F.lit(False))
+        signed = store(signed.withColumn("seen", old).drop("_old"), "batch")
+        # of equal texts the first stands for all: the others repeat it, or what it repeats
+        first = signed.filter("not by_hash and not seen and sha is not null").groupBy("sha").agg(F.min("id").alias("rep"))
         signed = signed.join(first, "sha", "left")
-        reps = store(signed.filter("id = rep").select("id", "batch", "n", "labels"), "reps")
-
-        numbers = [r[0] for r in reps.groupBy("batch").count().orderBy("batch").select("batch").toLocalIterator()]
-        size = -(-len(numbers) // max_units) or 1
-        near = None
-        for at in range(0, len(numbers), size):
-            lo, hi = numbers[at], numbers[min(at + size, len(numbers)) - 1]
-            found = self._unit(reps.filter(F.col("batch").between(lo, hi)).select("id", "n", "labels"))
-            near = found if near is None else near.unionByName(found)
-        near = reps.select("id").limit(0) if near is None else near
-        reason = F.when(F.col("by_hash"), "hash").when(F.col("id") != F.col("rep"), "same").when(F.col("near"), "near")
-        return signed.select("id", "by_hash", "rep").join(near.distinct().withColumn("near", F.lit(True)), "id", "left").select("id", reason.alias("reason"))
-
-
-def mark_incoming(
-    incoming: DataFrame,
-    documents: DataFrame,
-    commits: DataFrame,
-    *,
-    ngram: int = 3,
-    similarity: float = 0.6,
-    recall: float = 0.9999,
-    max_units: int = 8,
-) -> DataFrame:
+        reps = store(signed.filter("id = rep").select("id", "sha", "n", "labels"), "reps")
+        near = self._near(reps, reps.count())
+        within = self._settle(store(reps.join(near, "id", "left_anti"), "new"))
+        near = store(near.unionByName(within).distinct(), "near-all")
+        fresh = reps.join(near, "id", "left_anti").select("sha")
+        self.fresh = store(fresh if self.fresh is None else self.fresh.unionByName(fresh), "fresh")
+        reason = F.when(F.col("by_hash"), "hash").when(F.col("seen") | (F.col("id") != F.col("rep")), "same").when(F.col("near"), "near")
+        return signed.select("id", "by_hash", "seen", "rep").join(near.withColumn("near", F.lit(True)), "id", "left").select("id", reason.alias("reason"))
+
+
+def history(documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.999) -> BatchDeduper:
+    """What was accepted, ready to mark batches: the hashes of ``commits`` and the documents (doc_id, text) that have them. Hashes are compared without regard to letter case."""
+    spark = documents.sparkSession
+    accepted = store(commits.select(F.explode("accepted_hashes").alias("sha")).filter("sha is not null").select(F.lower(F.trim("sha")).alias("sha")).distinct(), "accepted")
+    docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    return BatchDeduper(spark, accepted, docs, HashForest(spark, ngram, similarity, recall))
+
+
+def mark_incoming(incoming: DataFrame, documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.999) -> DataFrame:
     """Mark every incoming record as new or as a repetition of something accepted before.
 
     Returns ``incoming_id, reason``, one row per distinct ``incoming_id``; ``reason`` is null for a new record, else
-    ``hash``, ``same`` or ``near`` (see :meth:`BatchDeduper.mark`).
+    ``hash``, ``same`` or ``near`` (see :meth:`BatchDeduper.mark`). Ids rise with the batches and decide what is earlier.
 
     A null text can only be known by its given hash. Texts with fewer than ``ngram`` words (empty ones too) are only equal
-    or not. Null ids are left out, repeated ids count once, a null batch goes before all others. Empty tables are no
-    history, or no rows. Hashes are compared without regard to letter case. Other columns are ignored.
+    or not. Null ids are left out, repeated ids count once. Empty tables are no history, or no rows. Other columns are ignored.
     """
-    spark = incoming.sparkSession
-    accepted = store(commits.select(F.explode("accepted_hashes").alias("sha")).filter("sha is not null").select(F.lower(F.trim("sha")).alias("sha")).distinct(), "accepted")
-    docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    rows = incoming.filter("incoming_id is not null").select(F.col("incoming_id").cast("long").alias("id"), F.col("batch_no").cast("long").alias("batch"), F.col("text_sha256").alias("given"), "text")
-    deduper = BatchDeduper(spark, accepted, docs, HashForest(spark, ngram, similarity, recall))
-    return deduper.mark(rows, max_units).select(F.col("id").alias("incoming_id"), "reason")
+    rows = incoming.filter("incoming_id is not null").select(F.col("incoming_id").cast("long").alias("id"), F.col("text_sha256").alias("given"), "text")
+    return history(documents, commits, ngram=ngram, similarity=similarity, recall=recall).mark(rows).select(F.col("id").alias("incoming_id"), "reason")

@@ -80,16 +80,19 @@ def bands_for(similarity: float, rows: int, recall: float) -> int:
 @functools.lru_cache(maxsize=8)
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240229)
-    return rng.integers(0, 1 << 63, count, dtype=np.uint64), rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return rng.integers(0, 1 << 32, count, dtype=np.uint32), rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def min_hashes(hashes: np.ndarray, count: int) -> np.ndarray:
-    """The smallest value of every one of ``count`` permutations; long sets go through in slices of bounded memory."""
+    """The smallest value of every one of ``count`` permutations of the high 32 bits; long sets go through in slices of bounded memory."""
     xor, mul = _permutations(count)
-    low = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 4096):
-        np.minimum(low, ((hashes[at : at + 4096, None] ^ xor) * mul).min(axis=0), out=low)
-    return low
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(count, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(high), 1024):
+        part = high[at : at + 1024, None] ^ xor
+        part *= mul
+        np.minimum(low, part.min(axis=0), out=low)
+    return low.astype(np.uint64)
 
 
 def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
