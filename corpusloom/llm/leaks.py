@@ -113,14 +113,14 @@ def leaked_passages(
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     blocks: list[dict[str, set[int]]] = [{}]
     held = 0
-    for row in items.select(F.col(item_col).cast("long").alias("item"), *[F.col(c).alias(f"p{i}") for i, c in enumerate(passage_cols)]).toLocalIterator():
-        for passage in row[1:]:
-            for pattern in runs_of(passage, min_words) if passage and row.item is not None else ():
-                if held > max_pattern_bytes:
-                    blocks, held = [*blocks, {}], 0
-                if pattern not in blocks[-1]:
-                    held += len(pattern.encode())
-                blocks[-1].setdefault(pattern, set()).add(row.item)
+    for row in items.select(F.col(item_col).cast("long").alias("item"), *[F.col(c).alias(f"p{i}") for i, c in enumerate(passage_cols)]).distinct().toLocalIterator():
+        patterns = {p for passage in row[1:] if passage and row.item is not None for p in runs_of(passage, min_words)}
+        size = sum(len(p.encode()) for p in patterns)
+        if blocks[-1] and held + size > max_pattern_bytes:  # an item's patterns stay together
+            blocks, held = [*blocks, {}], 0
+        held += size
+        for pattern in patterns:
+            blocks[-1].setdefault(pattern, set()).add(row.item)
     out = None
     sc = documents.sparkSession.sparkContext
     for number, block in enumerate(blocks):
@@ -145,6 +145,6 @@ def leaked_passages(
 
         hits = docs.mapInArrow(run, schema)
         out = hits if out is None else out.unionByName(hits)
-    if len(blocks) > 1:  # an item may lie in two blocks
-        out = out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("words", "start", "end"), "words").alias("r"), F.sum("covered_words").cast("int").alias("covered_words")).select("doc_id", "item_id", "r.words", "covered_words", "r.start", "r.end")
+    if len(blocks) > 1:  # rows of one item with different passages may lie in two blocks
+        out = out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("words", "start", "end"), "words").alias("r"), F.max("covered_words").alias("covered_words")).select("doc_id", "item_id", "r.words", "covered_words", "r.start", "r.end")
     return out
