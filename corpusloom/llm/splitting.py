@@ -24,39 +24,43 @@ def boundaries(text: str) -> np.ndarray:
     return ends[(ends > 0) & (ends < len(text))]
 
 
-class _Words:
-    """Words of a text as numbers, with their places."""
-
-    def __init__(self, text: str) -> None:
-        ids: dict[str, int] = {}
-        self.starts, numbers = [], []
-        for m in _WORDS.finditer(text):
-            self.starts.append(m.start())
-            numbers.append(ids.setdefault(m.group().lower(), len(ids)))
-        self.starts, self.numbers = np.array(self.starts, np.int64), np.array(numbers, np.int64)
-
-    def likeness(self, place: int, block: int) -> float:
-        """Cosine of the word counts of the ``block`` words before and after a place; 0 at the ends of the text."""
-        at = int(np.searchsorted(self.starts, place))
-        a, ca = np.unique(self.numbers[max(0, at - block) : at], return_counts=True)
-        b, cb = np.unique(self.numbers[at : at + block], return_counts=True)
-        if not len(a) or not len(b):
-            return 0.0
-        _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-        return float((ca[ia] * cb[ib]).sum() / np.sqrt((ca**2).sum() * (cb**2).sum()))
-
-
-def depths(likeness: np.ndarray) -> np.ndarray:
+def likeness(text: str, places: np.ndarray, block: int) -> np.ndarray:
+    """At each of the rising places in a text, the cosine of the word counts of the ``block`` words before and after; 0 at the ends of the text."""
+    starts, numbers, ids = [], [], {}
+    for m in _WORDS.finditer(text):
+        starts.append(m.start())
+        numbers.append(ids.setdefault(m.group().lower(), len(ids)))
+    starts, numbers = np.array(starts, np.int64), np.array(numbers, np.int64)
+    out = np.zeros(len(places))
+    for at in range(0, len(places), 256):  # counts of a bounded number of places at a time
+        mid = np.searchsorted(starts, places[at : at + 256])
+        lo, hi = np.maximum(mid - block, 0), np.minimum(mid + block, len(numbers))
+        first = int(lo[0])
+        names, local = np.unique(numbers[first : hi[-1]], return_inverse=True)
+        if not len(names):
+            continue
+        rows, back = np.unique(np.concatenate([lo, mid, hi]) - first, return_inverse=True)
+        # words before each of the rows, by word
+        row = np.searchsorted(rows, np.arange(len(local)), "right")
+        counts = np.bincount(row * len(names) + local, minlength=(len(rows) + 1) * len(names)).reshape(len(rows) + 1, len(names))
+        before = np.cumsum(counts, axis=0, dtype=np.float32)[:-1]
+        l_, m_, h_ = (before[i] for i in back.reshape(3, -1))
+        left, right = m_ - l_, h_ - m_
+        norm = np.sqrt((left**2).sum(axis=1) * (right**2).sum(axis=1))
+        out[at : at + 256] = (left * right).sum(axis=1) / np.maximum(norm, 1e-9)
+    return out
+
+
+def depths(curve: np.ndarray) -> np.ndarray:
     """How far each value lies below the peaks to its left and right."""
-    if not len(likeness):
-        return likeness
-    out = np.zeros(len(likeness))
-    for order in (range(len(likeness)), range(len(likeness) - 1, -1, -1)):
-        peak, last = -1.0, np.inf
+    out = np.zeros(len(curve))
+    values = curve.tolist()
+    for order in (range(len(values)), range(len(values) - 1, -1, -1)):
+        peak, last = -1.0, float("inf")
         for i in order:  # the peak is the top of the last rise on this side
-            peak = max(peak, likeness[i]) if likeness[i] <= last else likeness[i]
-            last = likeness[i]
-            out[i] += peak - likeness[i]
+            peak = max(peak, values[i]) if values[i] <= last else values[i]
+            last = values[i]
+            out[i] += peak - last
     return out
 
 
@@ -80,10 +84,9 @@ def split_text(text: str, limit: int = 1500, overlap: int = 100, block: int = 10
     char_starts = np.concatenate([[0], np.cumsum(1 + (widths > 0x7F) + (widths > 0x7FF).astype(np.int64) + (widths > 0xFFFF))])
     to_char = lambda byte: int(np.searchsorted(char_starts, byte, "right") - 1)
     tokens_before = lambda char: int(np.searchsorted(token_ends, char_starts[char], "right"))
-    ends, words = boundaries(text), _Words(text)
+    ends = boundaries(text)
     blanks = np.array([m.end() for m in _BLANKS.finditer(text)], np.int64)
-    likeness = np.array([words.likeness(e, block) for e in ends])
-    depth = depths(likeness)
+    depth = depths(likeness(text, ends, block))
     pieces, start = [], 0
     while True:
         room = limit
