@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _BLANK_RUN = re.compile(r"\n{3,}")
-#: Text made only of these code points is its own NFKC form: ASCII, and letters of Latin-1 and Latin Extended-A that don't decompose by compatibility.
-_NFKC_SAFE = r"^[\x00-\x7f¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž‐‒-‖‘-‟†-•一-龥、-〩]*$"
 
 
 def nfkc(text: str) -> str:
@@ -33,32 +32,50 @@ def normalize(text: str) -> str:
     return tidy(nfkc(text))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc_udf(s: pd.Series) -> pd.Series:
-    return s.map(nfkc, na_action="ignore")
+def _texts(f):
+    """A column function from a function of a text, over Arrow batches. Marked non-deterministic, so that the planner never evaluates it twice for a filter and a projection."""
 
+    @F.arrow_udf(T.StringType())
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else f(t) for t in column.to_pylist()], pa.string())
 
-@F.pandas_udf(T.StringType())
-def _casefold_udf(s: pd.Series) -> pd.Series:
-    return s.map(str.casefold, na_action="ignore")
+    return run.asNondeterministic()
 
 
-def nfkc_col(text: Column, already_nfkc: bool = False) -> Column:
-    """NFKC of a column; only rows with code points outside a safe set cross into Python."""
-    if already_nfkc:
-        return text
-    return F.when(text.rlike(_NFKC_SAFE), text).otherwise(_nfkc_udf(F.when(~text.rlike(_NFKC_SAFE), text)))
+_NORMAL = T.StructType([T.StructField("text", T.StringType()), T.StructField("sha256", T.StringType()), T.StructField("chars", T.LongType())])
+
+
+@F.arrow_udf(_NORMAL)
+def _normal_udf(column: pa.Array) -> pa.Array:
+    out = [None if t is None else normalize(t) for t in column.to_pylist()]
+    shas = [None if t is None else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in out]
+    sizes = [None if t is None else len(t) for t in out]
+    return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(shas, pa.string()), pa.array(sizes, pa.int64())], ["text", "sha256", "chars"])
+
+
+_normalize_udf, _casefold_udf = _texts(normalize), _texts(str.casefold)
+_normal_udf = _normal_udf.asNondeterministic()
 
 
 def normalize_col(text: Column, already_nfkc: bool = False) -> Column:
-    """:func:`normalize` as a Column: NFKC where needed, the rest in the JVM."""
-    t = F.regexp_replace(nfkc_col(text, already_nfkc), r"\r\n?", "\n")
+    """:func:`normalize` as a Column. Spark has no NFKC, so it is a pass over Arrow batches; texts known to be NFKC stay in the JVM."""
+    if not already_nfkc:
+        return _normalize_udf(text)
+    t = F.regexp_replace(text, r"\r\n?", "\n")
     t = F.regexp_replace(t, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
     t = F.regexp_replace(t, r"(?U)[\s&&[^\n]]+(?=\n|\z)", "")
     t = F.regexp_replace(t, r"(?U)\A\s+|\s+\z", "")
     return F.regexp_replace(t, r"\n{3,}", "\n\n")
 
 
+def normal_form(text: Column, already_nfkc: bool = False) -> Column:
+    """A struct of the normalized ``text``, its hex ``sha256`` and its ``chars``; nulls for a null text. One evaluation gives all three."""
+    if not already_nfkc:
+        return _normal_udf(text)
+    t = normalize_col(text, True)
+    return F.struct(t.alias("text"), F.sha2(t.cast("binary"), 256).alias("sha256"), F.length(t).cast("long").alias("chars"))
+
+
 def casefold_col(text: Column, full: bool = True) -> Column:
     """Unicode case folding. ``full=False`` folds in the JVM: lower case with sharp s as ss, which is the same for the Western languages."""
     return _casefold_udf(text) if full else F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))

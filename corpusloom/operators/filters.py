@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.hashing import json_sha256
 from corpusloom.functions.text import normalize
 
-_AUTOMATA: dict[tuple, object] = {}
+_AUTOMATA: dict[str, object] = {}
 
 
 @dataclass(frozen=True)
@@ -48,11 +47,9 @@ def contains_any(df: DataFrame, text: str, patterns: list[str], name: str = "con
         return df.withColumn(name, F.lit(False))
     shared = df.sparkSession.sparkContext.broadcast(kept)
     digest = pattern_fingerprint(list(kept))
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())])
-    names = [f.name for f in schema]
-    at = df.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.BooleanType())
+    def found(column: pa.Array) -> pa.Array:
         automaton = _AUTOMATA.get(digest)
         if automaton is None:
             automaton = ahocorasick.Automaton()
@@ -61,11 +58,9 @@ def contains_any(df: DataFrame, text: str, patterns: list[str], name: str = "con
             automaton.make_automaton()
             _AUTOMATA.clear()
             _AUTOMATA[digest] = automaton
-        for batch in batches:
-            found = [bool(t) and next(automaton.iter(t.casefold() if fold else t), None) is not None for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], names)
+        return pa.array([bool(t) and next(automaton.iter(t.casefold() if fold else t), None) is not None for t in column.to_pylist()], pa.bool_())
 
-    return df.mapInArrow(run, schema)
+    return df.withColumn(name, found.asNondeterministic()(F.col(text)))
 
 
 def contains_any_join(df: DataFrame, key: str, folded: Column, patterns: DataFrame, name: str = "contaminated") -> DataFrame:

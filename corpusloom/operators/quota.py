@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.windows import prefix_sums
-from corpusloom.session import cut, store
+from corpusloom.operators.windows import mark_ranges, prefix_sums, range_sums
+from corpusloom.session import store
 
 
-def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item: str = "item_id", tokens: str = "tokens", digest: str = "content_sha256", holdout: str = "holdout", reason: str = "reason", max_rounds: int = 60) -> DataFrame:
+def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item: str = "item_id", tokens: str = "tokens", digest: str = "content_sha256", holdout: str = "holdout", reason: str = "reason", max_rounds: int = 60, filter_first: bool = False) -> DataFrame:
     """Take documents in order until each item's quota of tokens is reached, exact duplicates of accepted ones left out.
 
     ``records`` has the order columns (a total order over all items and stages), item, tokens, content hash, ``holdout`` and the reason
@@ -22,7 +22,8 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
     A round is an aggregation by hash and a prefix sum by item, neither of which needs an item or a group of copies to fit into a task.
 
     Returns the rows with ``accepted`` and ``disposition``: ``train``, ``holdout``, ``duplicate_exact``, the given reason, or ``over_quota`` for rows that
-    come when their item is full (which are neither tested nor remembered). Rows of items without a quota are an error.
+    come when their item is full (which are neither tested nor remembered). With ``filter_first`` rows are tested before their item is looked at, so that
+    duplicates and rejected rows have their reasons in full items too; what is accepted is the same. Rows of items without a quota are an error.
     """
     planned = quotas.select(F.col(item).alias("_i"), F.col("token_quota").cast("long").alias("_quota"))
     # plan items are dimension rows
@@ -30,21 +31,27 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
     rows = prefix_sums(records.join(planned, F.col(item) == F.col("_i"), "left").withColumn("_quota", missing).drop("_i"), order, {"_pos": F.lit(1)})
     rows = store(rows, "quota-rows")
     light = rows.select("_pos", F.col(item).alias("_item"), F.col(tokens).cast("long").alias("_t"), F.col(digest).alias("_d"), F.coalesce(F.col(holdout), F.lit(False)).alias("_h"), F.col(reason).isNull().alias("_ok"), "_quota")
-    state = cut(light.withColumn("_acc", F.col("_ok")).withColumn("_open", F.lit(True)).withColumn("_dup", F.lit(False)))
+    state = mark_ranges(light.withColumn("_acc", F.col("_ok")).withColumn("_open", F.lit(True)).withColumn("_dup", F.lit(False)), ["_pos"], ["_item"])
     for _ in range(max_rounds):
         counted = F.when(F.col("_acc") & ~F.col("_h"), F.col("_t")).otherwise(0)
-        sums = prefix_sums(state, ["_pos"], {"_before": counted}, ["_item"])
+        sums = range_sums(state, ["_pos"], {"_before": counted}, ["_item"])
         first = state.groupBy("_d").agg(F.min(F.when(F.col("_acc"), F.col("_pos"))).alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null").select(F.col("_d").alias("_k"), "_first")
         tested = sums.join(first, F.col("_d") == F.col("_k"), "left").withColumn("_o", F.col("_before") < F.col("_quota")).withColumn("_u", F.coalesce(F.col("_first") < F.col("_pos"), F.lit(False)))
         tested = tested.withColumn("_a", F.col("_ok") & F.col("_o") & ~F.col("_u"))
         changed = (F.col("_a") != F.col("_acc")) | (F.col("_o") != F.col("_open")) | (F.col("_u") != F.col("_dup"))
-        new = cut(tested.withColumn("_c", changed).drop("_acc", "_open", "_dup", "_before", "_k", "_first").withColumnsRenamed({"_a": "_acc", "_o": "_open", "_u": "_dup"}))
+        new = store(tested.withColumn("_c", changed).drop("_acc", "_open", "_dup", "_before", "_k", "_first").withColumnsRenamed({"_a": "_acc", "_o": "_open", "_u": "_dup"}), "quota-round")
         state = new.drop("_c")
         if new.filter("_c").isEmpty():
             break
     else:
         raise RuntimeError(f"the quotas didn't settle within {max_rounds} rounds")
-    disposition = F.when(~F.col("_open"), "over_quota").when(~F.col("_ok"), F.col(reason)).when(F.col("_dup"), "duplicate_exact").when(F.col("_h"), "holdout").otherwise("train")
+    full, tests = [(~F.col("_open"), F.lit("over_quota"))], [(~F.col("_ok"), F.col(reason)), (F.col("_dup"), F.lit("duplicate_exact"))]
+    if filter_first:
+        tests.reverse()
+    disposition = F
+    for when, what in tests + full if filter_first else full + tests:
+        disposition = disposition.when(when, what)
+    disposition = disposition.when(F.col("_h"), "holdout").otherwise("train")
     settled = state.select(F.col("_pos").alias("_p"), "_acc", "_open", "_dup", "_ok", "_h")
     return rows.join(settled, F.col("_pos") == F.col("_p")).withColumn("accepted", F.col("_acc")).withColumn("disposition", disposition).drop("_p", "_pos", "_quota", "_acc", "_open", "_dup", "_ok", "_h")
 

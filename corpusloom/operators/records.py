@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import scalars as S
-from corpusloom.functions.hashing import sha
-from corpusloom.functions.text import normalize_col
+from corpusloom.functions.text import normal_form
 
 #: Names under which a text column is looked for, in this order.
 TEXT_NAMES = ("text", "story", "content", "article", "document")
@@ -60,8 +59,8 @@ def simple_records(rows: DataFrame, dataset: str, split: str, *, text: str = "te
     """Records of one dataset: ``id, dataset, split, source_id, text, text_sha256, num_chars`` beside the row index. Null texts and texts that normalize to nothing give no record."""
     own = F.col(source_id).cast("string") if source_id else F.lit(None).cast("string")
     sid = F.coalesce(own, F.col(index).cast("string"))
-    out = rows.filter(F.col(text).isNotNull()).select(F.col(index), sid.alias("source_id"), normalize_col(F.col(text), already_nfkc).alias("text")).filter("text <> ''")
-    return out.select(index, F.concat_ws("/", F.lit(dataset), F.lit(split), "source_id").alias("id"), F.lit(dataset).alias("dataset"), F.lit(split).alias("split"), "source_id", "text", sha(F.col("text")).alias("text_sha256"), F.length("text").cast("long").alias("num_chars"))
+    out = rows.filter(F.col(text).isNotNull()).select(F.col(index), sid.alias("source_id"), normal_form(F.col(text), already_nfkc).alias("_n")).filter("_n.chars > 0")
+    return out.select(index, F.concat_ws("/", F.lit(dataset), F.lit(split), "source_id").alias("id"), F.lit(dataset).alias("dataset"), F.lit(split).alias("split"), "source_id", F.col("_n.text").alias("text"), F.col("_n.sha256").alias("text_sha256"), F.col("_n.chars").alias("num_chars"))
 
 
 def _required(value: Column, message: str) -> Column:
@@ -80,7 +79,7 @@ def source_records(rows: DataFrame, source: Source, stage: str, *, index: str =
         raise ValueError(f"source {source.id!r} has no text field")
     raw = F.col(source.text_field)
     present = F.when(raw.isNull(), F.raise_error(F.concat(F.lit(f"source {source.id} has no {source.text_field} in row "), F.col(index).cast("string"))).cast("string")).otherwise(raw)
-    rows = rows.withColumn("_text", normalize_col(present, already_nfkc)).withColumn("_sha", sha(F.col("_text")))
+    rows = rows.withColumn("_n", normal_form(present, already_nfkc)).withColumns({"_text": F.col("_n.text"), "_sha": F.col("_n.sha256")})
     given = F.col(source.document_id_field) if source.document_id_field else F.lit(None).cast("string")
     blank = F.col("_text") == ""
     license_ = F.lit(source.license) if not source.license_field else F.when(~blank, _required(F.col(source.license_field), f"source {source.id} has a row without its document-level license"))
@@ -97,7 +96,7 @@ def source_records(rows: DataFrame, source: Source, stage: str, *, index: str =
     return rows.select(
         index, F.concat_ws("/", F.lit(source.id), F.lit(stage), "_doc").alias("id"), F.lit(source.name).alias("dataset"), F.lit(source.split).alias("split"), F.lit(source.id).alias("source_id"), "collection",
         F.col("_doc").alias("document_id"), F.col("_license").alias("license"), F.lit(source.license_review).alias("license_review"), F.lit(source.role).alias("role"), F.lit(stage).alias("stage"), bucket.alias("bucket_id"),
-        F.col("_text").alias("text"), F.col("_sha").alias("content_sha256"), F.col("_sha").alias("text_sha256"), F.length("_text").cast("long").alias("num_chars"), F.col("_est").alias("estimated_tokens"),
+        F.col("_text").alias("text"), F.col("_sha").alias("content_sha256"), F.col("_sha").alias("text_sha256"), F.col("_n.chars").alias("num_chars"), F.col("_est").alias("estimated_tokens"),
         F.when(blank, "empty_text").alias("reason"),
     )
 

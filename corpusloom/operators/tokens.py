@@ -29,35 +29,27 @@ def _load(source: str):
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", name: str = "ids", batch: int = 128) -> DataFrame:
-    """Adds the token ids of every text (null for null), encoded in batches; ``tokenizer`` is a JSON file on every machine, or JSON."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
-    at = df.columns.index(text)
+    """Adds the token ids of every text (null for null), encoded in batches; ``tokenizer`` is a JSON file on every machine, or JSON. Only the text column crosses into Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _load(tokenizer)
-        for b in batches:
-            texts = b.column(at).to_pylist()
-            ids: list = []
-            for i in range(0, len(texts), batch):
-                ids += [e.ids for e in tok.encode_batch([t or "" for t in texts[i : i + batch]], add_special_tokens=False)]
-            ids = [None if t is None else x for t, x in zip(texts, ids)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [f.name for f in schema])
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(column: pa.Array) -> pa.Array:
+        tok, texts, ids = _load(tokenizer), column.to_pylist(), []
+        for i in range(0, len(texts), batch):
+            ids += [e.ids for e in tok.encode_batch([t or "" for t in texts[i : i + batch]], add_special_tokens=False)]
+        return pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32()))
 
-    return df.mapInArrow(run, schema)
+    return df.withColumn(name, run.asNondeterministic()(F.col(text)))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Adds the text of token ids."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
-    at = df.columns.index(ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.StringType())
+    def run(column: pa.Array) -> pa.Array:
         tok = _load(tokenizer)
-        for b in batches:
-            texts = [None if x is None else tok.decode(x, skip_special_tokens=False) for x in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [f.name for f in schema])
+        return pa.array([None if x is None else tok.decode(x, skip_special_tokens=False) for x in column.to_pylist()], pa.string())
 
-    return df.mapInArrow(run, schema)
+    return df.withColumn(name, run.asNondeterministic()(F.col(ids)))
 
 
 def round_trip_failures(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:

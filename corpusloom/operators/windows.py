@@ -6,21 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import order_key
-from corpusloom.session import cut
+from corpusloom.session import store
 
 
-def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], group: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Adds, for each name, the sum of its value over all rows before this one in the order (within the group).
+def mark_ranges(df: DataFrame, order: list[str], group: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """A stored copy of the rows with ``_part``, the number of their range in the order of (group, order). Ranges are of about equal size whatever the groups are.
 
-    Two phases, so no group has to fit into a task: rows are sorted into ranges of (group, order); every range sums up per group; the sums of the
-    ranges, one row per range and group within it, are turned into offsets; and each row adds its range's offset to the sum within the range.
-    The order must be total. Nulls count as 0.
+    They are fixed by a table in the shared folder: a recomputed sample would move their limits.
     """
-    group = group or []
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store(df.repartitionByRange(n, *(group or []), *order).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def range_sums(ranged: DataFrame, order: list[str], values: dict[str, Column], group: list[str] | None = None) -> DataFrame:
+    """:func:`prefix_sums` of rows that have their ranges."""
+    group = group or []
     vals = {f"_v{i}": F.coalesce(v, F.lit(0)) for i, v in enumerate(values.values())}
-    # the ranges are fixed by a copy in the shared folder: a recomputed sample would move their limits
-    ranged = cut(df.withColumns(vals).repartitionByRange(n, *group, *order).withColumn("_part", F.spark_partition_id()))
+    ranged = ranged.withColumns(vals)
     totals = ranged.groupBy("_part", *group).agg(*[F.sum(v).alias(f"{v}t") for v in vals])
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], *[F.coalesce(F.sum(f"{v}t").over(before), F.lit(0)).alias(f"{v}o") for v in vals])
@@ -28,7 +30,17 @@ def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], grou
     inside = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.join(offsets, on)
     out = out.withColumns({name: F.col(f"{v}o") + F.coalesce(F.sum(v).over(inside), F.lit(0)) for name, v in zip(values, vals)})
-    return out.drop("_part", "_p", *[f"_g{i}" for i in range(len(group))], *vals, *[f"{v}o" for v in vals])
+    return out.drop("_p", *[f"_g{i}" for i in range(len(group))], *vals, *[f"{v}o" for v in vals])
+
+
+def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], group: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Adds, for each name, the sum of its value over all rows before this one in the order (within the group).
+
+    Two phases, so no group has to fit into a task: rows are sorted into ranges of (group, order); every range sums up per group; the sums of the
+    ranges, one row per range and group within it, are turned into offsets; and each row adds its range's offset to the sum within the range.
+    The order must be total. Nulls count as 0. All columns go along; put wide ones aside where that matters.
+    """
+    return range_sums(mark_ranges(df, order, group, partitions), order, values, group).drop("_part")
 
 
 def count_windows(records: DataFrame, size: int, *, source: str = "source_id", index: str = "row_index", kept: Column | None = None) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from corpusloom.functions.hashing import json_sha256, sha
-from corpusloom.functions.text import normalize_col
+from corpusloom.functions.hashing import json_sha256
+from corpusloom.functions.text import normal_form
 from corpusloom.sources.sinks import _fs
 
 
@@ -54,8 +54,8 @@ def unit_writer(folder: str, *, text: str = "text", source: str = "source_id", o
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("text", normalize_col(F.col(text))).withColumn("content_sha256", sha(F.col("text"))).withColumn("num_chars", F.length("text").cast("long"))
-        rows = rows.filter((F.col("text").isNotNull()) & (F.col("num_chars") >= max(1, min_chars)))
+        rows = batch.withColumn("_n", normal_form(F.col(text))).withColumns({"text": F.col("_n.text"), "content_sha256": F.col("_n.sha256"), "num_chars": F.col("_n.chars")}).drop("_n")
+        rows = rows.filter(F.col("num_chars") >= max(1, min_chars))
         first = rows.groupBy("content_sha256").agg(F.min(F.struct(source, order)).alias("_f"))
         rows = rows.join(first, "content_sha256").filter(F.struct(source, order).eqNullSafe(F.col("_f"))).drop("_f").dropDuplicates(["content_sha256"])
         old = _units(spark, folder, number)

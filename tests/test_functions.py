@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import hashing as H
 from corpusloom.functions import repetition as R
 from corpusloom.functions import scalars as S
-from corpusloom.functions.text import casefold_col, normalize, normalize_col, word_tokens
+from corpusloom.functions.text import casefold_col, extra_occurrences, ngrams, normal_form, normalize, normalize_col, story_sentences, story_words, word_tokens
 
 
 def plain_normalize(t):
@@ -88,6 +88,23 @@ def test_repetition_golden(spark):
     assert R.summarize_generations(two.limit(0)).first().mean_word_count == 0.0
 
 
+def test_repetition_as_array_functions(spark):
+    texts = ["Go go home. The little dog ran home. The little dog ran home!", "", "a b a b a b", "it's one, it's one? it's one!"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    w = story_words(F.col("text"))
+    by_arrays = df.select(F.size(w), F.size(ngrams(w, 3)), extra_occurrences(ngrams(w, 3)), extra_occurrences(ngrams(w, 4)), extra_occurrences(story_sentences(F.col("text"))))
+    by_pass = R.measure_repetition(df).select("word_count", "total_3grams", "repeated_3gram_occurrences", "repeated_4gram_occurrences", "duplicate_sentence_occurrences")
+    assert by_arrays.collect() == by_pass.collect()
+
+
+def test_normal_form_gives_all_three(spark):
+    df = spark.createDataFrame([("Ａ \r\n",), (None,), ("",)], "t string")
+    for known in (False, True):
+        a, b, c = [r[0] for r in df.select(normal_form(F.col("t"), known)).collect()]
+        want = "Ａ" if known else "A"
+        assert (a.text, a.sha256, a.chars) == (want, hashlib.sha256(want.encode()).hexdigest(), 1) and b.text is None and c.chars == 0
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("B", ["x", "y"]), ("0", ["x", "y"]), ("yes", ["no", "yes"]), ("C", ["x", "y"]), ("q z", ["x", "y"]), (" 1 ", ["x", "y"])], "a string, c array<string>")
     assert [r[0] for r in df.select(S.answer_index(F.col("a"), F.col("c"))).collect()] == [1, 0, 1, None, None, 1]
