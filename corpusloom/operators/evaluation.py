@@ -146,3 +146,9 @@ def check_results(results: DataFrame, claimed: DataFrame, category: str = "categ
     both = claimed.join(ours, F.col(category).eqNullSafe(F.col("_c")), "full_outer")
     same = (F.col("total") == F.col("_t")) & (F.col("correct") == F.col("_k")) & (F.abs(F.col("accuracy") - F.col("_a")) <= tolerance)
     return both.filter(~F.coalesce(same, F.lit(False)))
+
+
+def compare_roles(baseline: DataFrame, candidate: DataFrame, role: str = "role", tokens: str = "tokens") -> DataFrame:
+    """Tokens of two tokenizers by role, and the share that the candidate saves; roles of either side appear, null where one is missing."""
+    b = baseline.select(role, F.col(tokens).alias("baseline_tokens"))
+    return b.join(candidate.select(role, F.col(tokens).alias("candidate_tokens")), role, "full_outer").withColumn("improvement", (F.col("baseline_tokens") - F.col("candidate_tokens")) / F.col("baseline_tokens"))

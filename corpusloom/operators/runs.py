@@ -72,3 +72,14 @@ def phase_join(rows: DataFrame, phases: DataFrame, tokens: str = "tokens_process
     rows_ = phases.agg(F.array_sort(F.collect_list(F.struct(F.col(limit).alias("l"), F.col(name).alias("p")))).alias("_ps"))  # one row
     pick = F.coalesce(F.get(F.filter("_ps", lambda x: x["l"] > F.col(tokens)), 0), F.try_element_at("_ps", F.lit(-1)))
     return rows.join(F.broadcast(rows_), F.lit(True)).withColumn("phase", pick["p"]).drop("_ps")
+
+
+def summary_markdown(summary: DataFrame, title: str = "Run summary", notes: list[str] | None = None) -> str:
+    """Run summaries as Markdown, a section per run; figures that are missing are said to be unavailable. A summary has a row per run."""
+    lines = [f"# {title}", ""]
+    for row in summary.toLocalIterator():
+        shown = row.asDict()
+        lines += [f"## {' / '.join(str(shown[c]) for c in list(shown)[:1])}", *[f"- {k.replace('_', ' ')}: {'unavailable' if v is None else v}" for k, v in list(shown.items())[1:]], ""]
+    if notes:
+        lines += ["## Known limitations", *[f"- {n}" for n in notes], ""]
+    return "\n".join(lines)

@@ -8,10 +8,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.hashing import EXCLUSIVE, hash_fraction, hash_split
+from corpusloom.functions.hashing import EXCLUSIVE, hash_fraction, hash_split, json_sha256
+from corpusloom.functions.repetition import measure_repetition, summarize_generations
 from corpusloom.functions.scalars import item_id
 from corpusloom.functions.text import casefold_col
-from corpusloom.operators.aggregates import breakdowns, stage_measures
+from corpusloom.operators.aggregates import breakdowns, disposition_counts, license_counts, overlap, stage_measures
+from corpusloom.operators.evaluation import conversion_counts, convert_benchmark, loss_summary, paired_losses, unequal_seeds
 from corpusloom.operators.filters import QualityPolicy, contains_any, quality_report, rejection_reasons
 from corpusloom.operators.quota import audit_quotas, fill_quotas, item_statistics, require_filled
 from corpusloom.operators.records import Source, simple_records, source_records
@@ -20,6 +22,7 @@ from corpusloom.operators.windows import shuffled_windows
 from corpusloom.plans.mixture import plan_items
 from corpusloom.session import store
 from corpusloom.sources.readers import Loader, with_row_index
+from corpusloom.sources.sinks import publish, split_metadata, write_shards
 
 
 def judged(records: DataFrame, policy: QualityPolicy, patterns: list[str], *, position: str) -> DataFrame:
@@ -115,3 +118,53 @@ def pipeline_report(records: DataFrame) -> DataFrame:
 
 def folded(records: DataFrame, text: str = "text") -> DataFrame:
     return records.withColumn("folded", casefold_col(F.col(text)))
+
+
+def tokenize_splits(records: DataFrame, tokenizer: str, path: str, order: list[str], *, split: str = "split", shard_size: int = 50_000_000, eos_id: int = 1, dtype: str = "uint16", replace: bool = False) -> dict[str, dict[str, Any]]:
+    """Encode the texts of every split and write its token shards under ``path``; returns the metadata of each split. Splits are few."""
+    import hashlib
+
+    spark = records.sparkSession
+    text = tokenizer if tokenizer.lstrip().startswith("{") else open(tokenizer, encoding="utf-8").read()
+    encoded = store(encode(records.select(*order, split, "text"), tokenizer).drop("text"), "encoded")
+    write_shards(encoded, path, order, shard_size, eos_id=eos_id, dtype=dtype, group=[split], replace=replace)
+    counts = {r[split]: r["count"] for r in encoded.groupBy(split).count().collect()}
+    meta = spark.read.parquet(f"{path}/metadata")
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    return {s: split_metadata(meta.filter(F.col(split) == s), documents=n, tokenizer_sha256=digest, dtype=dtype, shard_size=shard_size, split=s) for s, n in sorted(counts.items())}
+
+
+def prepare_benchmark(rows: DataFrame, path: str, dataset: str, config: str, *, index: str = "row_index", replace: bool = False) -> DataFrame:
+    """Write the usable items of a benchmark and, beside them, the skipped rows with their reasons; returns the counts."""
+    items = store(convert_benchmark(rows, dataset, config, index), "items")
+
+    def write(p: str) -> None:
+        items.filter("problem is null").drop("problem").write.json(f"{p}/items")
+        items.filter("problem is not null").select("source_index", "config", "problem").write.json(f"{p}/skipped")
+
+    publish(rows.sparkSession, path, write, replace=replace)
+    return conversion_counts(items)
+
+
+def comparison_report(losses: DataFrame, generations: DataFrame, predicted: DataFrame | None = None, *, label: str = "checkpoint_label") -> dict[str, DataFrame]:
+    """What is compared between checkpoints: losses, each two paired by seed, repetition of generations, and accuracy on choices. Unequal seeds are an error."""
+    odd = unequal_seeds(losses.withColumnRenamed(label, "label")).limit(1).collect()
+    if odd:
+        raise ValueError(f"not every checkpoint has the seed {odd[0]['seed']} once")
+    out = {"losses": loss_summary(losses, label=label), "pairs": paired_losses(losses, label=label), "generations": summarize_generations(measure_repetition(generations), [label])}
+    if predicted is not None:
+        out["accuracy"] = predicted.groupBy(label, "category").agg(F.count("*").alias("total"), F.count_if("correct").alias("correct"))
+    return out
+
+
+def finalize(corpus: DataFrame, items: DataFrame, tolerance: float) -> dict[str, Any]:
+    """The evidence of a finished build with its own hash: quota, licence, quality and overlap audits, and whether all passed. Every part is a small table."""
+    rows = lambda df: [r.asDict(True) for r in df.collect()]
+    quota = rows(corpus_audit(corpus, items, tolerance))
+    kept = corpus.filter("accepted")
+    shared = overlap(kept.filter("split = 'validation'"), kept.filter("split <> 'validation'"), "content_sha256").count()
+    counts = rows(disposition_counts(corpus))[0]
+    balanced = counts["read"] == counts["accepted"] + counts["held_out"] + counts["over_quota"] + counts["rejected"]
+    body = {"quota": quota, "licenses": rows(license_counts(kept)), "quality": rows(corpus.groupBy("disposition").count()), "counts": counts, "overlap": shared}
+    body["passed"] = bool(all(r["passed"] for r in quota) and shared == 0 and balanced)
+    return body | {"audit_sha256": json_sha256(body)}

@@ -154,3 +154,19 @@ def require_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     if wrong:
         raise ValueError(f"columns that don't fit: {wrong}")
     return df
+
+
+def read_verified_split(spark: SparkSession, root: str, manifest: DataFrame, split: str, schema: T.StructType = RECORD) -> DataFrame:
+    """The records of a split from the files its manifest (split, path, size, sha256; paths below ``root``) lists, once all of them are proven to be there unchanged. A manifest has a row per file."""
+    from corpusloom.operators.audits import verify_files
+
+    mine = manifest.filter(F.col("split") == split)
+    paths = [r.path for r in mine.select("path").toLocalIterator()]
+    if not paths:
+        raise ValueError(f"the manifest has no files of {split!r}")
+    prefix = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+    found = file_table(spark, [f"{root}/{p}" for p in paths]).withColumn("path", F.substring_index("path", prefix, -1))
+    wrong = verify_files(mine, found).filter("state <> 'ok'").limit(5).collect()
+    if wrong:
+        raise ValueError("files that don't match their manifest: " + ", ".join(f"{r.path} ({r.state})" for r in wrong))
+    return read_records(spark, [f"{root}/{p}" for p in paths], schema)

@@ -95,3 +95,25 @@ def load_probes(path: str | Path) -> dict[str, list[str]]:
 
 def probe_table(spark: SparkSession, groups: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame([(g, t) for g, texts in groups.items() for t in texts], "`group` string, text string")
+
+
+#: Thresholds of a tokenizer comparison, with their defaults.
+CANDIDATE_DEFAULTS = {"min_overall": 0.01, "min_focus": 0.03, "max_general_loss": 0.01, "max_focus_loss": 0.01, "max_probe_loss": 0.05}
+
+
+def load_candidate(path: str | Path) -> dict[str, Any]:
+    """The recipe of a tokenizer candidate: labels, vocabulary, sample size and thresholds, each in its range."""
+    raw = _yaml(path)
+    _closed(raw, {"baseline", "candidate", "vocabulary", "sample_tokens", *CANDIDATE_DEFAULTS}, "the candidate")
+    out = CANDIDATE_DEFAULTS | raw
+    for key in ("baseline", "candidate"):
+        _text(out.get(key), key)
+    if out["baseline"] == out["candidate"]:
+        raise ValueError("baseline and candidate need different labels")
+    for key in ("vocabulary", "sample_tokens"):
+        if isinstance(out.get(key), bool) or not isinstance(out.get(key), int) or out[key] < 1:
+            raise ValueError(f"{key} must be a positive whole number")
+    for key in CANDIDATE_DEFAULTS:
+        if isinstance(out[key], bool) or not isinstance(out[key], (int, float)) or not 0 <= out[key] < 1:
+            raise ValueError(f"{key} must be in [0, 1)")
+    return out

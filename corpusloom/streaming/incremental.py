@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -10,10 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.functions.hashing import json_sha256
 from corpusloom.functions.text import normal_form
+from corpusloom.operators.filters import first_copies
 from corpusloom.sources.sinks import _fs
 
 
@@ -56,8 +60,7 @@ def unit_writer(folder: str, *, text: str = "text", source: str = "source_id", o
         spark = batch.sparkSession
         rows = batch.withColumn("_n", normal_form(F.col(text))).withColumns({"text": F.col("_n.text"), "content_sha256": F.col("_n.sha256"), "num_chars": F.col("_n.chars")}).drop("_n")
         rows = rows.filter(F.col("num_chars") >= max(1, min_chars))
-        first = rows.groupBy("content_sha256").agg(F.min(F.struct(source, order)).alias("_f"))
-        rows = rows.join(first, "content_sha256").filter(F.struct(source, order).eqNullSafe(F.col("_f"))).drop("_f").dropDuplicates(["content_sha256"])
+        rows = first_copies(rows.withColumn("_at", F.struct(source, order)), "content_sha256", "_at").drop("_at")
         old = _units(spark, folder, number)
         if old:
             rows = rows.join(spark.read.parquet(*old).select("content_sha256"), "content_sha256", "left_anti")
@@ -110,3 +113,32 @@ def count_window_stream(stream: DataFrame, size: int, *, key: str = "source_id",
 def dedup_stream(stream: DataFrame, digest: str = "content_sha256") -> DataFrame:
     """The first row of every hash in a stream; the hashes seen are the state. Without a watermark it grows with the distinct texts, which is what global deduplication means; see :func:`unit_writer` for history in tables."""
     return stream.dropDuplicates([digest])
+
+
+class ProgressFile(StreamingQueryListener):
+    """Writes the progress of a build's micro-batches to a JSON file on the driver, at most every ``interval`` seconds, and at its end."""
+
+    def __init__(self, path: str, interval: float = 5.0) -> None:
+        self.path, self.interval, self.last, self.rows = path, interval, 0.0, 0
+
+    def _write(self, state: dict[str, Any]) -> None:
+        part = f"{self.path}.part"
+        with open(part, "w", encoding="utf-8") as out:
+            json.dump(state, out, sort_keys=True)
+        os.replace(part, self.path)
+
+    def onQueryStarted(self, event) -> None:
+        self._write({"status": "running", "rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows += p.numInputRows
+        if time.monotonic() - self.last >= self.interval:
+            self.last = time.monotonic()
+            self._write({"status": "running", "batch": p.batchId, "rows": self.rows, "rows_per_second": p.processedRowsPerSecond})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._write({"status": "failed" if event.exception else "complete", "rows": self.rows})

@@ -8,6 +8,7 @@ from corpusloom.operators.filters import QualityPolicy
 from corpusloom.operators.records import Bucket, Source
 from corpusloom.plans import mixture as M
 from corpusloom.plans import pipelines
+from corpusloom.sources import readers
 from corpusloom.streaming import incremental
 
 
@@ -83,6 +84,50 @@ def test_audit_of_a_build(spark):
     corpus, _ = pipelines.build_corpus(spark, SOURCES, [plan], _loader, QualityPolicy(min_chars=5), row_order=["pos"])
     audit = pipelines.corpus_audit(corpus, M.plan_items(spark, [plan]), 0.9).collect()
     assert all(r.passed for r in audit if r.item_id) and len(audit) == 5
+    evidence = pipelines.finalize(corpus, M.plan_items(spark, [plan]), 0.9)
+    assert evidence["passed"] and evidence["overlap"] == 0 and len(evidence["audit_sha256"]) == 64
+
+
+def test_tokenized_splits(spark, tmp_path):
+    tok = "/opt/tokenizers/byte_bpe_50k.json"
+    df = spark.createDataFrame([(i, "train" if i % 3 else "validation", f"text number {i}") for i in range(30)], "pos long, split string, text string")
+    meta = pipelines.tokenize_splits(df, tok, f"file://{tmp_path}/t", ["pos"], shard_size=16, eos_id=50256)
+    assert set(meta) == {"train", "validation"} and meta["train"]["total_documents"] == 20
+    assert all(s["num_tokens"] == 16 for s in meta["train"]["shards"][:-1]) and meta["train"]["total_tokens"] == sum(s["num_tokens"] for s in meta["train"]["shards"])
+    ends = readers.read_shards(spark, f"{tmp_path}/t/bin/split=train").select(F.explode("ids").alias("x")).filter("x = 50256").count()
+    assert ends == 20
+
+
+def test_benchmark_files_and_comparison(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "Q", ["a", "b"], "A"), (2, None, ["a", "b"], "A")], "row_index long, question string, choices array<string>, answer string")
+    assert tuple(pipelines.prepare_benchmark(rows, f"{tmp_path}/b", "d", "c").first()) == ("c", 1, 1)
+    assert spark.read.json(f"{tmp_path}/b/skipped").first().problem == "no question"
+    losses = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "checkpoint_label string, seed long, loss double")
+    texts = spark.createDataFrame([("a", "A cat ran."), ("b", "A cat. A cat.")], "checkpoint_label string, text string")
+    report = pipelines.comparison_report(losses, texts)
+    assert report["pairs"].first().left_wins == 1 and report["generations"].count() == 2
+    with pytest.raises(ValueError, match="seed [12] once"):
+        pipelines.comparison_report(losses.limit(1).union(spark.createDataFrame([("b", 2, 1.0)], losses.schema)), texts)
+
+
+def test_progress_file(spark, tmp_path):
+    import json
+    import time
+
+    raw = f"{tmp_path}/raw"
+    _write_raw(spark, raw, [(0, "s", "x"), (1, "s", "y")])
+    listener = incremental.ProgressFile(f"{tmp_path}/p.json", 0.0)
+    spark.streams.addListener(listener)
+    try:
+        incremental.run_build(spark.readStream.schema("row_index long, source_id string, text string").parquet(raw), f"{tmp_path}/b", {"v": 1})
+        for _ in range(50):
+            state = json.loads(open(f"{tmp_path}/p.json").read())
+            if state["status"] == "complete":
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert state == {"status": "complete", "rows": 2}
 
 
 def _write_raw(spark, path, rows):

@@ -3,10 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluation
+from corpusloom.operators import evaluation, runs
 from corpusloom.operators.records import Source
 from corpusloom.operators.runs import METRICS
-from corpusloom.sources import readers, registry, sinks
+from corpusloom.sources import paths, readers, registry, sinks
 
 
 def _record(text, digest=None):
@@ -162,3 +162,44 @@ def test_choice_items(spark, tmp_path):
     path.write_text('{"id": "a"}\n{"id": "a"}\n')
     with pytest.raises(Exception, match="repeated id"):
         readers.read_choice_items(spark, str(path)).collect()
+
+
+def test_verified_splits(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/a.jsonl").write_text('{"id": "1", "text": "x"}\n')
+    found = readers.file_table(spark, f"{tmp_path}/c").first()
+    manifest = lambda sha: spark.createDataFrame([("train", "c/a.jsonl", found.size, sha)], "split string, path string, size long, sha256 string")
+    assert readers.read_verified_split(spark, str(tmp_path), manifest(found.sha256), "train").first().id == "1"
+    with pytest.raises(ValueError, match="hash"):
+        readers.read_verified_split(spark, str(tmp_path), manifest("0" * 64), "train")
+    with pytest.raises(ValueError, match="no files"):
+        readers.read_verified_split(spark, str(tmp_path), manifest(found.sha256), "validation")
+
+
+def test_paths_and_storage(tmp_path):
+    assert paths.managed_path(str(tmp_path), "a/b.json") == f"{tmp_path}/a/b.json"
+    (tmp_path / "link").symlink_to(tmp_path)
+    for bad in ("/a", "../a", "a/../b", "", "link/a", "a b"):
+        with pytest.raises(ValueError):
+            paths.managed_path(str(tmp_path), bad)
+    assert paths.require_free(f"{tmp_path}/new/folder", 0)["free_gib"] > 0
+    with pytest.raises(OSError):
+        paths.require_free(str(tmp_path), 1e9)
+
+
+def test_candidate_recipe(tmp_path):
+    path = tmp_path / "c.yaml"
+    path.write_text("{baseline: a, candidate: b, vocabulary: 100, sample_tokens: 5}")
+    assert registry.load_candidate(path)["min_overall"] == 0.01
+    for text in ("{baseline: a, candidate: a, vocabulary: 1, sample_tokens: 5}", "{baseline: a, candidate: b, vocabulary: 0, sample_tokens: 5}", "{baseline: a, candidate: b, vocabulary: 1, sample_tokens: 5, min_focus: 2}"):
+        path.write_text(text)
+        with pytest.raises(ValueError):
+            registry.load_candidate(path)
+
+
+def test_summary_text_and_roles(spark):
+    s = spark.createDataFrame([("r", 1.5, None)], "run string, best_val_loss double, max_tokens_per_second double")
+    text = runs.summary_markdown(s, notes=["few seeds"])
+    assert "- best val loss: 1.5" in text and "unavailable" in text and "few seeds" in text
+    a, b = (spark.createDataFrame(x, "role string, tokens long") for x in ([("g", 100), ("t", 50)], [("g", 90)]))
+    assert {r.role: r.improvement for r in evaluation.compare_roles(a, b).collect()} == {"g": 0.1, "t": None}
