@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import nfkc, tidy
@@ -79,6 +79,11 @@ class HashForest:
 
     ``recall`` is the probability with which a search finds a pair of the given ``similarity``, more similar pairs being found
     with more. It fixes how many trees there are: as many as reach it with prefixes of ``shortest`` hashes.
+
+    A bucket that holds more than ``hot`` entries, as a large group of near-copies makes them, keeps ``heads`` of them in its run, and the
+    others in a table of tails that is spread by a salt. Tails are searched too, for records that nothing else has settled: a record
+    of such a group is settled by a head, so a large group meets a batch as a few entries, and nothing is left out. Hot buckets
+    are told by one in ``sample`` records; what the sample misses is searched as usual.
     """
 
     spark: SparkSession
@@ -87,7 +92,12 @@ class HashForest:
     recall: float = 0.999
     shortest: int = 4
     max_runs: int = 4
+    hot: int = 2000
+    heads: int = 8
+    sample: int = 32
+    salts: int = 32
     runs: list[tuple[str, str]] = field(default_factory=list)
+    tails: list[tuple[str, DataFrame]] = field(default_factory=list)
 
     @property
     def trees(self) -> int:
@@ -96,9 +106,23 @@ class HashForest:
     def sign(self, texts: DataFrame) -> DataFrame:
         return sign(texts, self.ngram, self.trees)
 
+    def _part_hot(self, kind: str, signed: DataFrame, rows: DataFrame) -> DataFrame:
+        """The entries for a run; those of hot buckets beyond their heads become tails."""
+        some = signed.filter(F.pmod(F.xxhash64("id"), F.lit(self.sample)) == 0)
+        hot = store(entries(some, self.shortest).groupBy("tree", "stem").agg(F.count("*").alias("c")).filter(F.col("c") > self.hot / self.sample).select("tree", "stem"), "hot")
+        if hot.isEmpty():
+            return rows
+        full = store(rows.join(hot, ["tree", "stem"], "left_semi").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(self.salts)).cast("int")), "full")
+        # heads of each part of a bucket, then of those: no task sees a whole bucket
+        part, whole = Window.partitionBy("tree", "stem", "salt").orderBy("id"), Window.partitionBy("tree", "stem").orderBy("id")
+        heads = full.withColumn("r", F.row_number().over(part)).filter(F.col("r") <= self.heads).withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= self.heads).drop("r")
+        heads = store(heads, "heads")
+        self.tails.append((kind, store(full.join(heads, ["tree", "stem", "id"], "left_anti").repartition("tree", "stem", "salt"), "tails")))
+        return rows.join(hot, ["tree", "stem"], "left_anti").unionByName(heads.drop("salt"))
+
     def add(self, kind: str, signed: DataFrame) -> None:
         """Store accepted texts as a new run; with too many runs of a kind, merge them."""
-        self._write(kind, entries(signed, self.shortest))
+        self._write(kind, self._part_hot(kind, signed, entries(signed, self.shortest)))
         mine = [r for r in self.runs if r[0] == kind]
         if len(mine) > self.max_runs:
             merged = self.spark.table(mine[0][1])
@@ -106,7 +130,7 @@ class HashForest:
                 merged = merged.unionByName(self.spark.table(name))
             self._write(kind, merged)
             for run in mine:
-                self.runs.remove(run)
+                self.runs.remove(run)  # the tables of merged runs stay until the session ends: a plan may still read them
 
     def _write(self, kind: str, rows: DataFrame) -> None:
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -128,22 +152,37 @@ class HashForest:
         Similarity can't exceed the ratio of the two sizes, so pairs whose sizes are further apart are left out. While the labels of the batch
         fit into the tasks' memory they are hashed and the runs stream by; a larger batch is sorted and merged with them.
         """
-        depth = self.depth(self.recall if recall is None else recall)
-        step = 1 << (BITS * (DEPTH - depth))
-        low = F.col("label") - F.pmod(F.col("label"), F.lit(step))
-        probe = entries(signed, self.shortest).select("tree", "stem", low.alias("low"), (low + step).alias("high"), F.col("id").alias("i"), F.col("n").alias("m"))
+        probe = self._probe(signed, recall)
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         if records * self.trees * 64 / partitions <= 32 << 20:
             probe = probe.hint("shuffle_hash")
         out = None
         for kind, name in self.runs:
-            if kinds is not None and kind not in kinds:
-                continue
-            close = (F.col("label") >= F.col("low")) & (F.col("label") < F.col("high")) & (F.least("n", "m") >= F.lit(self.similarity) * F.greatest("n", "m"))
-            hits = probe.join(self.spark.table(name), ["tree", "stem"]).filter(close).select(F.col("i").alias("id"), F.lit(kind).alias("kind"), F.col("id").alias("other"))
-            out = hits if out is None else out.unionByName(hits)
+            if kinds is None or kind in kinds:
+                hits = self._hits(kind, probe.join(self.spark.table(name), ["tree", "stem"]))
+                out = hits if out is None else out.unionByName(hits)
         return None if out is None else out.distinct()
 
+    def locate_tails(self, signed: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame | None:
+        """The same among the tails of hot buckets, each label going to every part of its bucket."""
+        out = None
+        for kind, rows in self.tails:
+            if kinds is None or kind in kinds:
+                probe = self._probe(signed, None).join(rows.select("tree", "stem").distinct(), ["tree", "stem"], "left_semi")
+                probe = probe.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+                hits = self._hits(kind, probe.join(rows, ["tree", "stem", "salt"]))
+                out = hits if out is None else out.unionByName(hits)
+        return None if out is None else out.distinct()
+
+    def _probe(self, signed: DataFrame, recall: float | None) -> DataFrame:
+        step = 1 << (BITS * (DEPTH - self.depth(self.recall if recall is None else recall)))
+        low = F.col("label") - F.pmod(F.col("label"), F.lit(step))
+        return entries(signed, self.shortest).select("tree", "stem", low.alias("low"), (low + step).alias("high"), F.col("id").alias("i"), F.col("n").alias("m"))
+
+    def _hits(self, kind: str, joined: DataFrame) -> DataFrame:
+        close = (F.col("label") >= F.col("low")) & (F.col("label") < F.col("high")) & (F.least("n", "m") >= F.lit(self.similarity) * F.greatest("n", "m"))
+        return joined.filter(close).select(F.col("i").alias("id"), F.lit(kind).alias("kind"), F.col("id").alias("other"))
+
 
 def resolve(edges: DataFrame) -> DataFrame:
     """The cases among linked records: (id) of those with a link to a smaller id that is no case itself.
@@ -177,7 +216,7 @@ class BatchDeduper:
     accepted: DataFrame
     documents: DataFrame
     forest: HashForest
-    hot: int = 20_000
+    hot: int = 500
 
     def __post_init__(self) -> None:
         self.documents = self.documents.filter("id is not null and text is not null")
@@ -190,20 +229,24 @@ class BatchDeduper:
     def _sets(self, kind: str, ids: DataFrame) -> DataFrame:
         return gram_sets(only(self.texts[kind], ids), self.forest.ngram)
 
-    def _near(self, unit: DataFrame, records: int, kinds: tuple[str, ...] | None = None) -> DataFrame:
-        """(id) of the unit's records that are near-same to an entry of the forest, by all n-grams of the whole texts."""
-        located = self.forest.locate(unit, records, kinds)
-        if located is None:
-            return unit.select("id").limit(0)
+    def _confirm(self, located: DataFrame) -> DataFrame:
+        """(id) of located pairs that are near-same by all n-grams of the whole texts."""
         pairs = store(located, "located")
         out = None
-        for kind in dict.fromkeys(k for k, _ in self.forest.runs if kinds is None or k in kinds):
+        for kind in self.texts:
             some = pairs.filter(F.col("kind") == kind).select(F.col("id").alias("a"), F.col("other").alias("b"))
             mine, theirs = self._sets("incoming", some.select(F.col("a").alias("id"))), self._sets(kind, some.select(F.col("b").alias("id")))
             found = verify(some, mine, theirs, self.forest.similarity).select(F.col("a").alias("id"))
             out = found if out is None else out.unionByName(found)
         return store(out.distinct(), "near")
 
+    def _near(self, unit: DataFrame, records: int, kinds: tuple[str, ...] | None = None) -> DataFrame:
+        """(id) of the unit's records that are near-same to an entry of the forest."""
+        located = self.forest.locate(unit, records, kinds)
+        near = unit.select("id").limit(0) if located is None else self._confirm(located)
+        located = self.forest.locate_tails(unit.join(near, "id", "left_anti"), kinds)
+        return near if located is None else store(near.unionByName(self._confirm(located)), "near")
+
     def _settle(self, new: DataFrame) -> DataFrame:
         """(id) of the cases within a stored unit of distinct texts, none of which is near-same to the forest; the others join it."""
         mine = entries(new, self.forest.shortest)

@@ -174,6 +174,22 @@ def test_hot_groups_are_searched_in_parts(spark, batches):
     assert {r.id for r in deduper.mark(rows).collect() if r.reason} == sequential(batches[2], batches[0], batches[1])
 
 
+def test_hot_buckets_of_history(spark):
+    """History with a large group of near-copies, and texts that share buckets with it without being near."""
+    rng = random.Random(8)
+    base = " ".join(rng.choices(VOCAB, k=80))
+    group = [edit(rng, base, 0.06) for _ in range(60)] + [" ".join(rng.choices(VOCAB, k=50)) for _ in range(20)]
+    documents = list(enumerate(group))
+    incoming = [(i, None, t) for i, t in enumerate([edit(rng, base, s) for s in (0.0, 0.05, 0.1, 0.2, 0.25, 0.3, 0.5)] + [edit(rng, g, 0.03) for g in group[::7]])]
+    accepted = [sha(t) for t in group]
+    docs = spark.createDataFrame(documents, "id long, text string")
+    acc = spark.createDataFrame([(h,) for h in set(accepted)], "sha string")
+    deduper = BatchDeduper(spark, acc, docs, HashForest(spark, hot=4, heads=2, sample=1, salts=3))
+    assert deduper.forest.tails
+    rows = spark.createDataFrame(incoming, "id long, given string, text string")
+    assert {r.id for r in deduper.mark(rows).collect() if r.reason} == sequential(incoming, documents, accepted)
+
+
 def test_empty_history_and_batches(spark, batches):
     docs, commits, inc = tables(spark, batches)
     assert mark_incoming(inc.limit(0), docs, commits).count() == 0
