@@ -425,9 +425,9 @@ def paired_comparison(t):
     return evaluation.paired_losses(_losses(t)).withColumn("mean_loss_difference", F.round("mean_loss_difference", 6))
 
 
-@_query(f"WITH {_LOSS} SELECT seed, count(DISTINCT label) AS labels, count(*) AS rows FROM l GROUP BY seed HAVING count(*) <> (SELECT count(DISTINCT label) FROM l)")
+@_query(f"WITH {_LOSS} SELECT seed, count(DISTINCT label) AS labels, count(*) AS rows FROM l WHERE loss < 40 GROUP BY seed HAVING count(*) <> (SELECT count(DISTINCT label) FROM l WHERE loss < 40)")
 def unequal_seeds(t):
-    return evaluation.unequal_seeds(_losses(t))
+    return evaluation.unequal_seeds(_losses(t).filter("loss < 40"))
 
 
 _GEN = "g AS (SELECT config AS checkpoint_label, item_id::VARCHAR AS generation_id, prompt, array_to_string(choices, ' ') AS text FROM eval_items)"

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values.
 #: Largest value of the first 16 hex digits, and one more: the two split rules divide by different ones.
 INCLUSIVE, EXCLUSIVE = float(16**16 - 1), float(16**16)
 

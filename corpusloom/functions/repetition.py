@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names of figures, and what words and sentences are.
 #: The rates that are averaged over a set of texts.
 RATES = ("repeated_3gram_rate", "repeated_4gram_rate", "duplicate_sentence_rate", "distinct_2gram_ratio", "distinct_3gram_ratio")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.windows import prefix_sums
+
 
 def split_statistics(records: DataFrame, *, split: str = "split", chars: str = "num_chars", line: Column | None = None) -> DataFrame:
     """Documents, characters and, given the JSON line of a row, its bytes with line ends, per split."""
@@ -44,17 +46,18 @@ def disposition_counts(records: DataFrame, disposition: str = "disposition", by:
 def quantile_higher(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """Quantiles that are values of the data: of n sorted values, the one at index ceil((n - 1) * q).
 
-    The distinct values and their counts are aggregated first, and only those, with running counts, are ordered within a group: copies cost
-    nothing. A group's distinct values pass through one task as a sorted stream.
+    The distinct values and their counts are aggregated first, so copies cost nothing; the running counts are prefix sums over ranges of values, so no
+    group has to fit into a task.
     """
-    from pyspark.sql import Window
-
     by = by or []
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    over = Window.partitionBy(*by)
-    counts = counts.withColumn("_cum", F.sum("_c").over(over.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(over))
-    picks = [F.min(F.when(F.col("_cum") > F.ceil((F.col("_n") - 1) * q), F.col(value))).alias(name) for name, q in quantiles.items()]
-    return counts.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
+    placed = prefix_sums(counts, [value], {"_before": F.col("_c")}, by)
+    totals = placed.groupBy(*[F.col(g).alias(f"_{i}") for i, g in enumerate(by)]).agg(F.sum("_c").alias("n"))
+    on = [F.col(g).eqNullSafe(F.col(f"_{i}")) for i, g in enumerate(by)] or [F.lit(True)]
+    # the first value whose running count is beyond the rank
+    rank = lambda q: F.ceil((F.col("n") - 1) * q)
+    picks = [F.min(F.when(F.col("_before") + F.col("_c") > rank(q), F.col(value))).alias(name) for name, q in quantiles.items()]
+    return placed.join(totals if by else F.broadcast(totals), on).groupBy(*by).agg(F.max("n").alias("n"), *picks)
 
 
 def overlap(left: DataFrame, right: DataFrame, digest: str = "text_sha256") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import answer_index
 
+# Fixed values.
 #: Scores of a judgment, each 0, 1 or 2.
 SCORES = ("character_consistency", "object_location_consistency", "causal_coherence", "overall_consistency")
 #: Differences up to this are ties.

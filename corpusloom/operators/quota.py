@@ -12,7 +12,7 @@ from corpusloom.session import store
 def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item: str = "item_id", tokens: str = "tokens", digest: str = "content_sha256", holdout: str = "holdout", reason: str = "reason", max_rounds: int = 60, filter_first: bool = False) -> DataFrame:
     """Take documents in order until each item's quota of tokens is reached, exact duplicates of accepted ones left out.
 
-    ``records`` has the order columns (a total order over all items and stages), item, tokens, content hash, ``holdout`` and the reason
+    ``records`` has the order columns (a total order over all items and stages, no two rows alike), item, tokens, content hash, ``holdout`` and the reason
     for which a row is rejected whatever was accepted before it (null if none). A row is accepted if it has no such reason, if the tokens of
     the accepted rows of its item before it, holdouts aside, are below the quota, and if no accepted row before it has its hash. The last document of
     an item may overshoot; holdouts pass while the item is open, and don't count.
@@ -27,33 +27,37 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
     """
     planned = quotas.select(F.col(item).alias("_i"), F.col("token_quota").cast("long").alias("_quota"))
     # plan items are dimension rows
-    missing = F.when(F.col("_quota").isNull(), F.raise_error(F.concat(F.lit("no quota for item "), F.coalesce(F.col(item).cast("string"), F.lit("null")))).cast("long")).otherwise(F.col("_quota"))
-    rows = prefix_sums(records.join(planned, F.col(item) == F.col("_i"), "left").withColumn("_quota", missing).drop("_i"), order, {"_pos": F.lit(1)})
-    rows = store(rows, "quota-rows")
-    light = rows.select("_pos", F.col(item).alias("_item"), F.col(tokens).cast("long").alias("_t"), F.col(digest).alias("_d"), F.coalesce(F.col(holdout), F.lit(False)).alias("_h"), F.col(reason).isNull().alias("_ok"), "_quota")
-    state = mark_ranges(light.withColumn("_acc", F.col("_ok")).withColumn("_open", F.lit(True)).withColumn("_dup", F.lit(False)), ["_pos"], ["_item"])
+    missing = F.when(F.col("_quota").isNull(), F.raise_error(F.concat(F.lit("no quota for item "), F.coalesce(F.col("_item").cast("string"), F.lit("null")))).cast("long")).otherwise(F.col("_quota"))
+    # only the order, sizes and hashes go through the rounds; the records themselves move once, at the end
+    keys = [f"_k{i}" for i in range(len(order))]
+    light = records.select(
+        *[F.col(c).alias(k) for c, k in zip(order, keys)], F.col(item).alias("_item"), F.col(tokens).cast("long").alias("_t"), F.col(digest).alias("_d"), F.coalesce(F.col(holdout), F.lit(False)).alias("_h"), F.col(reason).alias("_reason")
+    )
+    light = light.join(planned, F.col("_item") == F.col("_i"), "left").withColumn("_quota", missing).drop("_i")
+    light = prefix_sums(light, keys, {"_pos": F.lit(1)}).withColumns({"_ok": F.col("_reason").isNull(), "_acc": F.col("_reason").isNull(), "_open": F.lit(True), "_dup": F.lit(False)})
+    state = mark_ranges(light, ["_pos"], ["_item"])
     for _ in range(max_rounds):
         counted = F.when(F.col("_acc") & ~F.col("_h"), F.col("_t")).otherwise(0)
         sums = range_sums(state, ["_pos"], {"_before": counted}, ["_item"])
-        first = state.groupBy("_d").agg(F.min(F.when(F.col("_acc"), F.col("_pos"))).alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null").select(F.col("_d").alias("_k"), "_first")
-        tested = sums.join(first, F.col("_d") == F.col("_k"), "left").withColumn("_o", F.col("_before") < F.col("_quota")).withColumn("_u", F.coalesce(F.col("_first") < F.col("_pos"), F.lit(False)))
+        first = state.groupBy("_d").agg(F.min(F.when(F.col("_acc"), F.col("_pos"))).alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null").select(F.col("_d").alias("_known"), "_first")
+        tested = sums.join(first, F.col("_d") == F.col("_known"), "left").withColumn("_o", F.col("_before") < F.col("_quota")).withColumn("_u", F.coalesce(F.col("_first") < F.col("_pos"), F.lit(False)))
         tested = tested.withColumn("_a", F.col("_ok") & F.col("_o") & ~F.col("_u"))
         changed = (F.col("_a") != F.col("_acc")) | (F.col("_o") != F.col("_open")) | (F.col("_u") != F.col("_dup"))
-        new = store(tested.withColumn("_c", changed).drop("_acc", "_open", "_dup", "_before", "_k", "_first").withColumnsRenamed({"_a": "_acc", "_o": "_open", "_u": "_dup"}), "quota-round")
+        new = store(tested.withColumn("_c", changed).drop("_acc", "_open", "_dup", "_before", "_known", "_first").withColumnsRenamed({"_a": "_acc", "_o": "_open", "_u": "_dup"}), "quota-round")
         state = new.drop("_c")
         if new.filter("_c").isEmpty():
             break
     else:
         raise RuntimeError(f"the quotas didn't settle within {max_rounds} rounds")
-    full, tests = [(~F.col("_open"), F.lit("over_quota"))], [(~F.col("_ok"), F.col(reason)), (F.col("_dup"), F.lit("duplicate_exact"))]
+    full, tests = [(~F.col("_open"), F.lit("over_quota"))], [(~F.col("_ok"), F.col("_reason")), (F.col("_dup"), F.lit("duplicate_exact"))]
     if filter_first:
         tests.reverse()
     disposition = F
     for when, what in tests + full if filter_first else full + tests:
         disposition = disposition.when(when, what)
     disposition = disposition.when(F.col("_h"), "holdout").otherwise("train")
-    settled = state.select(F.col("_pos").alias("_p"), "_acc", "_open", "_dup", "_ok", "_h")
-    return rows.join(settled, F.col("_pos") == F.col("_p")).withColumn("accepted", F.col("_acc")).withColumn("disposition", disposition).drop("_p", "_pos", "_quota", "_acc", "_open", "_dup", "_ok", "_h")
+    settled = state.select(*keys, F.col("_acc").alias("accepted"), disposition.alias("disposition"))
+    return records.join(settled, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(order, keys)]).drop(*keys)
 
 
 def item_statistics(filled: DataFrame, quotas: DataFrame, *, item: str = "item_id", tokens: str = "tokens") -> DataFrame:

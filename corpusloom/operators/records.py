@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import scalars as S
 from corpusloom.functions.text import normal_form
 
+# Fixed values.
 #: Names under which a text column is looked for, in this order.
 TEXT_NAMES = ("text", "story", "content", "article", "document")
 #: Roles whose sources may enter a corpus.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import perplexity
 
+# Fixed values.
 #: Columns of a run's metric table, in the order of its file.
 METRICS = ("event", "attempted_step", "global_step", "tokens_processed", "train_loss", "val_loss", "val_perplexity", "lr", "grad_norm", "grad_scale", "optimizer_step_skipped", "optimizer_steps_skipped_total", "consecutive_optimizer_steps_skipped", "tokens_per_second", "peak_memory_mb", "elapsed_seconds")
 

@@ -14,6 +14,7 @@ from corpusloom.functions.text import word_tokens
 from corpusloom.operators.aggregates import quantile_higher
 from corpusloom.operators.windows import prefix_sums
 
+# Fixed values.
 #: Largest token id of each storage type.
 DTYPE_LIMITS = {"uint16": 0xFFFF, "uint32": 0xFFFFFFFF}
 
@@ -92,8 +93,14 @@ def build_shards(df: DataFrame, order: list[str], shard_size: int, *, ids: str =
     group = group or []
     whole = F.coalesce(F.col(ids), F.array().cast("array<int>"))
     whole = whole if eos_id is None else F.concat(whole, F.array(F.lit(eos_id)))
-    placed = token_offsets(df.withColumn("_ids", whole), order, F.size("_ids"), eos=False, group=group)
-    pieces = shard_pieces(placed, shard_size, keep=[*group, "_ids"])
+    keys = [*group, *order]
+    tmp = [f"_k{i}" for i in range(len(keys))]
+    # offsets come from lengths alone; the ids move to their pieces and then to their shards
+    lengths = df.select(*[F.col(c).alias(k) for c, k in zip(keys, tmp)], F.size(whole).alias("_n"))
+    placed = token_offsets(lengths, tmp[len(group) :], F.col("_n"), eos=False, group=tmp[: len(group)])
+    pieces = shard_pieces(placed, shard_size, keep=tmp)
+    on = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(keys, tmp)]
+    pieces = df.select(*keys, whole.alias("_ids")).join(pieces, on).drop(*tmp)
     piece = F.slice("_ids", F.col("start").cast("int") + 1, F.col("length").cast("int"))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("place", piece.alias("part")))), lambda x: x["part"])
     shards = pieces.groupBy(*group, "shard_index").agg(F.flatten(parts).alias("ids")).withColumn("num_tokens", F.size("ids").cast("long"))
@@ -177,6 +184,7 @@ def fertility(probes: DataFrame, tokenizer: str, *, group: str = "group", text:
     return sums.withColumn("tokens_per_word", F.col("tokens") / F.col("words")).withColumn("characters_per_token", F.col("characters") / F.col("tokens"))
 
 
+# Fixed value.
 #: How a byte-level tokenizer cuts text before its merges.
 PRETOKEN = r"('(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+)"
 

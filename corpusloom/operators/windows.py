@@ -47,17 +47,18 @@ def count_windows(records: DataFrame, size: int, *, source: str = "source_id", i
     """Adds ``window``, the number of the count window, and ``next_cursor``, the raw row after its last one.
 
     Windows hold ``size`` kept rows of a source in the order of the raw index; ``kept`` is false for rows that don't count (blank
-    ones), which carry the window they fall into and move its cursor only if a kept row follows or the source ends.
+    ones), which carry the window they fall into and move its cursor only if a kept row follows or the source ends. Indexes are distinct within a source.
     """
     kept = F.lit(True) if kept is None else kept
     if size < 1:
         raise ValueError("a window needs at least one row")
-    rows = prefix_sums(records.withColumn("_kept", kept.cast("int")), [index], {"_before": F.col("_kept")}, [source])
+    # the index alone is sorted; the rows themselves move once, to meet their windows
+    rows = prefix_sums(records.select(F.col(source).alias("_s"), F.col(index).alias("_i"), kept.cast("int").alias("_kept")), ["_i"], {"_before": F.col("_kept")}, ["_s"])
     rows = rows.withColumn("window", F.floor(F.col("_before") / size).cast("long"))
-    ends = rows.groupBy(source, "window").agg(F.max(F.when(F.col("_kept") == 1, F.col(index))).alias("_last"), F.sum("_kept").alias("_n"), F.max(index).alias("_raw"))
-    ends = ends.select(F.col(source).alias("_s"), F.col("window").alias("_w"), F.when(F.col("_n") >= size, F.col("_last")).otherwise(F.col("_raw")).alias("_end"))
-    out = rows.join(ends, F.col(source).eqNullSafe(F.col("_s")) & (F.col("window") == F.col("_w")))
-    return out.withColumn("next_cursor", F.col("_end") + 1).drop("_kept", "_before", "_s", "_w", "_end")
+    ends = rows.groupBy(F.col("_s").alias("_e"), F.col("window").alias("_w")).agg(F.max(F.when(F.col("_kept") == 1, F.col("_i"))).alias("_last"), F.sum("_kept").alias("_n"), F.max("_i").alias("_raw"))
+    ends = ends.select("_e", "_w", (F.when(F.col("_n") >= size, F.col("_last")).otherwise(F.col("_raw")) + 1).alias("next_cursor"))
+    placed = rows.join(ends, F.col("_s").eqNullSafe(F.col("_e")) & (F.col("window") == F.col("_w"))).select("_s", "_i", "window", "next_cursor")
+    return records.join(placed, F.col(source).eqNullSafe(F.col("_s")) & (F.col(index) == F.col("_i"))).drop("_s", "_i")
 
 
 def shuffled_windows(records: DataFrame, size: int, seed: int, *, source: str = "source_id", index: str = "row_index", document: str = "document_id", digest: str = "content_sha256") -> DataFrame:
