@@ -76,6 +76,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_passages(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
 
 
+def p6_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the longest leaked passage of each item stands in each document, and how many words of the document are in any."""
+    return leaks.leaked_passages(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"))
+
+
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     sizes = mixing.token_sizes(_t(spark, sf_dir, "documents"), keep=("source",))
     return mixing.mix_sources(sizes, _t(spark, sf_dir, "mixture_targets"))
@@ -91,6 +96,11 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir)[1]
 
 
+def p7_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of every stage, and how often each is used."""
+    return _mixed(spark, sf_dir)[0]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that had to be split."""
     return splitting.split_documents(_t(spark, sf_dir, "documents")).filter("pieces > 1 and piece = 0").select("doc_id").distinct()
@@ -102,7 +112,7 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_budget, p2_found, p2_statistics, p3_found, p4_found, p4_fill, p5_found, p5_counts, p6_found, p7_found, p7_shares, p8_found, p8_pieces)
+    own = (p1_found, p1_budget, p2_found, p2_statistics, p3_found, p4_found, p4_fill, p5_found, p5_counts, p6_found, p6_places, p7_found, p7_shares, p7_selection, p8_found, p8_pieces)
     return {f.__name__: f for f in own}
 
 
