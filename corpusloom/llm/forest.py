@@ -89,7 +89,7 @@ class HashForest:
     spark: SparkSession
     ngram: int = 3
     similarity: float = 0.6
-    recall: float = 0.999
+    recall: float = 0.9999
     shortest: int = 4
     max_runs: int = 4
     hot: int = 2000
@@ -298,7 +298,7 @@ class BatchDeduper:
         return signed.select("id", "by_hash", "seen", "rep").join(near.withColumn("near", F.lit(True)), "id", "left").select("id", reason.alias("reason"))
 
 
-def history(documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.999) -> BatchDeduper:
+def history(documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.9999) -> BatchDeduper:
     """What was accepted, ready to mark batches: the hashes of ``commits`` and the documents (doc_id, text) that have them. Hashes are compared without regard to letter case."""
     spark = documents.sparkSession
     accepted = store(commits.select(F.explode("accepted_hashes").alias("sha")).filter("sha is not null").select(F.lower(F.trim("sha")).alias("sha")).distinct(), "accepted")
@@ -306,7 +306,7 @@ def history(documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similar
     return BatchDeduper(spark, accepted, docs, HashForest(spark, ngram, similarity, recall))
 
 
-def mark_incoming(incoming: DataFrame, documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.999) -> DataFrame:
+def mark_incoming(incoming: DataFrame, documents: DataFrame, commits: DataFrame, *, ngram: int = 3, similarity: float = 0.6, recall: float = 0.9999) -> DataFrame:
     """Mark every incoming record as new or as a repetition of something accepted before.
 
     Returns ``incoming_id, reason``, one row per distinct ``incoming_id``; ``reason`` is null for a new record, else

@@ -1,6 +1,7 @@
 """Overlap across splits, leaks and batch deduplication against brute force."""
 
 import hashlib
+import inspect
 import random
 
 import pytest
@@ -205,3 +206,10 @@ def test_chains_of_links(spark):
 def test_the_prefix_widens_with_the_recall(spark):
     f = HashForest(spark)
     assert f.depth(0.9) == 5 and f.depth(f.recall) == 4
+
+
+def test_a_pair_at_the_limit_is_missed_once_in_ten_thousand(spark, batches):
+    docs, commits, _ = tables(spark, batches)
+    for f in (HashForest(spark), history(docs, commits).forest):
+        assert (1 - f.similarity**f.shortest) ** f.trees <= 1e-4
+    assert inspect.signature(mark_incoming).parameters["recall"].default == 0.9999
