@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import heapq
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -197,17 +199,72 @@ def pretoken_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 def train_bpe(df: DataFrame, text: str = "text", *, vocabulary: int = 8192, min_count: int = 2, special: tuple[str, ...] = ("<|pad|>", "<|eos|>", "<|bos|>", "<|unk|>"), max_pieces: int = 2_000_000) -> str:
     """A byte-level byte-pair tokenizer as JSON. Counting pieces is distributed; merging runs on the driver over the ``max_pieces`` most frequent distinct pieces, a documented
-    bound on the training vocabulary (the tokenizer still encodes every text). Ties of counts go by piece."""
-    from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
+    bound on the training vocabulary (the tokenizer still encodes every text). Every piece weighs its full count, whatever the size of the input. Ties of counts go by piece, those of pairs by id."""
+    from tokenizers import AddedToken, Tokenizer, decoders, models, pre_tokenizers
 
     top = pretoken_counts(df, text).filter(F.col("count") >= min_count).orderBy(F.col("count").desc(), "piece").limit(max_pieces)
-    tok = Tokenizer(models.BPE())
+    vocab, merges = _merge_pairs(((r["piece"], r["count"]) for r in top.toLocalIterator()), vocabulary, special)
+    tok = Tokenizer(models.BPE(vocab=vocab, merges=merges))
     tok.pre_tokenizer, tok.decoder = pre_tokenizers.ByteLevel(add_prefix_space=False), decoders.ByteLevel()
-    trainer = trainers.BpeTrainer(vocab_size=vocabulary, special_tokens=list(special), initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False)
+    tok.add_special_tokens([AddedToken(t, special=True, normalized=False) for t in special])
+    return tok.to_str()
 
-    def weighted() -> Iterator[str]:
-        for r in top.toLocalIterator():
-            yield from (r.piece for _ in range(min(r["count"], 1 << 16)))
 
-    tok.train_from_iterator(weighted(), trainer)
-    return tok.to_str()
+def _byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+def _merge_pairs(counted: Iterable[tuple[str, int]], vocabulary: int, special: tuple[str, ...]) -> tuple[dict[str, int], list[tuple[str, str]]]:
+    """Vocabulary and merges from (piece, count): the pair with the largest sum of counts is merged next, of equal ones that with the smallest ids."""
+    letters = _byte_letters()
+    tokens = list(dict.fromkeys([*special, *sorted(letters)]))
+    ids = {t: i for i, t in enumerate(tokens)}
+    first = [ids[c] for c in letters]
+    words, weights = [], []
+    sums, where = defaultdict(int), defaultdict(set)
+    for piece, count in counted:
+        word = [first[b] for b in piece.encode("utf-8", "surrogatepass")]
+        if len(word) > 1:
+            for pair in zip(word, word[1:]):
+                sums[pair] += count
+                where[pair].add(len(words))
+            words.append(word)
+            weights.append(count)
+    heap = [(-n, pair) for pair, n in sums.items()]
+    heapq.heapify(heap)
+    merges: dict[tuple[int, int], None] = {}
+    while heap and len(tokens) < vocabulary:
+        n, pair = heapq.heappop(heap)
+        now = sums.get(pair, 0)
+        if now != -n:  # sums that fell since; those that rose were pushed again
+            if 0 < now < -n:
+                heapq.heappush(heap, (-now, pair))
+            continue
+        name = tokens[pair[0]] + tokens[pair[1]]
+        if name not in ids:
+            ids[name] = len(tokens)
+            tokens.append(name)
+        merges.setdefault(pair)
+        made, risen = ids[name], set()
+        for w in where.pop(pair):
+            old, new, i = words[w], [], 0
+            while i < len(old):
+                both = i + 1 < len(old) and (old[i], old[i + 1]) == pair
+                new.append(made if both else old[i])
+                i += 2 if both else 1
+            if len(new) == len(old):
+                continue
+            for p in zip(old, old[1:]):
+                sums[p] -= weights[w]
+            for p in zip(new, new[1:]):
+                sums[p] += weights[w]
+                if made in p:
+                    where[p].add(w)
+                    risen.add(p)
+            words[w] = new
+        for p in risen:
+            heapq.heappush(heap, (-sums[p], p))
+    return ids, [(tokens[a], tokens[b]) for a, b in merges]

@@ -1,9 +1,11 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers, trainers
 
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import audits, evaluation, filters, quota, records, runs, windows
@@ -175,6 +177,21 @@ def test_tokenizer_round_trip_and_training(spark):
     assert sum(len(p.piece) * p["count"] for p in pieces) == sum(len(t) for t in texts if t)
 
 
+def test_training_weighs_pieces_by_full_counts(spark):
+    """Counts beyond 65,536 still decide what is merged first; on real counts the merges are those of a trainer that reads every piece."""
+    df = spark.createDataFrame([(" ab" * 70000 + " cd" * 80000,)], "text string")
+    assert json.loads(T.train_bpe(df, vocabulary=262))["model"]["merges"][0] == ["c", "d"]
+    rng = random.Random(2)
+    counted = {"".join(rng.choices(" abcdeé字", k=rng.randint(1, 9))): rng.randint(1, 300) for _ in range(400)}
+    tok = Tokenizer(models.BPE())
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    trainer = trainers.BpeTrainer(vocab_size=500, special_tokens=["<x>"], initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False)
+    tok.train_from_iterator((p for p, n in counted.items() for _ in range(n)), trainer)
+    want = json.loads(tok.to_str())["model"]
+    ids, merges = T._merge_pairs(counted.items(), 500, ("<x>",))
+    assert ids == want["vocab"] and [list(m) for m in merges] == want["merges"]
+
+
 def test_paired_losses(spark):
     df = spark.createDataFrame([("170m", 1, 1.7), ("170m", 2, 1.8), ("200m", 1, 1.8), ("200m", 2, 1.7)], "label string, seed long, loss double")
     r = evaluation.paired_losses(df).collect()
