@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import hashing as H
 from corpusloom.functions import repetition as R
 from corpusloom.functions import scalars as S
-from corpusloom.functions.text import casefold_col, normalize_col, word_tokens
+from corpusloom.functions.text import casefold_col, nfkc_col, normalize_col, word_tokens
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import audits, evaluation, filters, quota, records, runs, tokens, windows
 from corpusloom.plans import pipelines
@@ -24,12 +24,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
-def _query(sql: str | None = None):
+def _query(sql: str | None = None, nfkc: bool = False):
+    """Registers a query. Those whose SQL states normalization without NFKC, which it can't express, take ``nfkc=True``: they are registered as ``NAME_nfkc`` too, over NFKC texts."""
+
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         _QUERIES[f.__name__] = call
+        if nfkc:
+            _QUERIES[f"{f.__name__}_nfkc"] = lambda spark, sf_dir: f(_nfkc_tables(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")))
         if sql:
             _SQL[f.__name__] = sql
         return f
@@ -55,8 +59,14 @@ _HEX = "('0x' || substr({}, 1, 16))::UBIGINT::DOUBLE"
 _MIN_CHARS = 120
 
 
+def _nfkc_tables(t) -> Callable[[str], DataFrame]:
+    """The tables with the raw texts that are normalized brought to NFKC, the first step of normalization."""
+    raw = {"documents": "text", "eval_items": "prompt"}
+    return lambda name: t(name).withColumn(raw[name], nfkc_col(F.col(raw[name]))) if name in raw else t(name)
+
+
 def _documents(t) -> DataFrame:
-    """Documents as records of texts that are taken as NFKC already."""
+    """Documents as records of texts that are taken as NFKC already: the SQL beside the queries can't state it. :func:`_nfkc_tables` has texts that are."""
     d = t("documents").withColumn("row_index", F.col("doc_id"))
     own = records.simple_records(d.select("row_index", "text"), "documents", "train", already_nfkc=True)
     return own.drop("source_id").join(d.select("row_index", F.col("source").alias("source_id"), "lang"), "row_index").withColumnRenamed("row_index", "doc_id")
@@ -79,7 +89,7 @@ def _judged(t) -> DataFrame:
 
 
 @_query(f"""{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split,
-    count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM f GROUP BY ALL""")
+    count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM f GROUP BY ALL""", nfkc=True)
 def flagship_counts(t):
     j = _judged(t).withColumn("split", H.hash_split(F.col("text_sha256"), 0.1))
     return j.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason"), "split").agg(F.count("*").alias("documents"), F.sum("num_chars").alias("total_chars"))
@@ -139,22 +149,22 @@ def folded_prompts(t):
     return t("eval_items").filter("prompt is not null").select(H.sha(casefold_col(F.col("prompt"))).alias("folded_sha256"), "item_id")
 
 
-@_query(f"{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS documents, (SELECT count(*) FROM f) AS total FROM f GROUP BY 1")
+@_query(f"{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS documents, (SELECT count(*) FROM f) AS total FROM f GROUP BY 1", nfkc=True)
 def reject_reasons(t):
     return filters.quality_report(_judged(t))
 
 
-@_query(f"{_REASONS} SELECT doc_id, sha AS text_sha256 FROM f WHERE reason IS NULL")
+@_query(f"{_REASONS} SELECT doc_id, sha AS text_sha256 FROM f WHERE reason IS NULL", nfkc=True)
 def accepted_documents(t):
     return _judged(t).filter("reason is null").select("doc_id", "text_sha256")
 
 
-@_query(f"WITH {_DOCS} SELECT min(doc_id) AS doc_id, sha AS text_sha256 FROM docs GROUP BY sha")
+@_query(f"WITH {_DOCS} SELECT min(doc_id) AS doc_id, sha AS text_sha256 FROM docs GROUP BY sha", nfkc=True)
 def first_copies(t):
     return filters.first_copies(_documents(t).select("doc_id", "text_sha256"), "text_sha256", "doc_id")
 
 
-@_query(f"WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS pattern FROM eval_items WHERE prompt <> '') SELECT doc_id FROM docs d WHERE EXISTS (SELECT 1 FROM p WHERE contains({_FOLD.format('d.text')}, p.pattern))")
+@_query(f"WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS pattern FROM eval_items WHERE prompt <> '') SELECT doc_id FROM docs d WHERE EXISTS (SELECT 1 FROM p WHERE contains({_FOLD.format('d.text')}, p.pattern))", nfkc=True)
 def contamination_join(t):
     p = t("eval_items").filter("prompt <> ''").select(casefold_col(normalize_col(F.col("prompt"), True), full=False).alias("pattern"))
     d = _documents(t)
@@ -167,24 +177,24 @@ def unseen_records(t):
     return filters.unseen(t("normalized_records").filter("text_sha256 is not null").select("id", F.lower("text_sha256").alias("sha")), seen, "sha").select("id", "sha")
 
 
-@_query(f"""WITH {_DOCS} SELECT CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split, count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM docs GROUP BY 1""")
+@_query(f"""WITH {_DOCS} SELECT CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split, count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM docs GROUP BY 1""", nfkc=True)
 def split_statistics(t):
     return A.split_statistics(_documents(t).withColumn("split", H.hash_split(F.col("text_sha256"), 0.1)))
 
 
-@_query(f"WITH {_DOCS} SELECT source, sha256(string_agg(sha, '' ORDER BY doc_id)) AS documents_sha256 FROM docs GROUP BY source")
+@_query(f"WITH {_DOCS} SELECT source, sha256(string_agg(sha, '' ORDER BY doc_id)) AS documents_sha256 FROM docs GROUP BY source", nfkc=True)
 def documents_digest(t):
     return _documents(t).groupBy(F.col("source_id").alias("source")).agg(H.ordered_digest(F.col("doc_id"), F.col("text_sha256")).alias("documents_sha256"))
 
 
-@_query(f"""WITH {_DOCS} SELECT source, list_reduce(list_prepend(repeat('0', 64), list(sha ORDER BY doc_id)), lambda a, x: sha256(unhex(a) || encode(x))) AS chain FROM docs GROUP BY source""")
+@_query(f"""WITH {_DOCS} SELECT source, list_reduce(list_prepend(repeat('0', 64), list(sha ORDER BY doc_id)), lambda a, x: sha256(unhex(a) || encode(x))) AS chain FROM docs GROUP BY source""", nfkc=True)
 def chained_digest(t):
     return _documents(t).groupBy(F.col("source_id").alias("source")).agg(H.chained_digest(F.col("doc_id"), F.col("text_sha256")).alias("chain"))
 
 
 @_query()
 def block_digests(t):
-    return H.block_digest(_documents(t), ["source_id"], "doc_id", "text_sha256", 1000)
+    return H.block_digest(_documents(_nfkc_tables(t)), ["source_id"], "doc_id", "text_sha256", 1000)
 
 
 _DISTINCT = "r AS (SELECT DISTINCT id, stage, role, source_id, bucket_id, license, split, num_chars, estimated_tokens FROM normalized_records)"
@@ -240,9 +250,9 @@ def with_row_index_by_source(t) -> DataFrame:
 _QUOTA = 6000
 
 
-def _quota_rows(t) -> DataFrame:
+def _quota_rows(t, nfkc: bool = True) -> DataFrame:
     """Documents of every source in shuffled windows, with estimated tokens."""
-    d = _documents(t).withColumnRenamed("doc_id", "row_index")
+    d = _documents(_nfkc_tables(t) if nfkc else t).withColumnRenamed("doc_id", "row_index")
     d = windows.shuffled_windows(d.select("row_index", "source_id", F.col("row_index").cast("string").alias("document_id"), F.col("text_sha256").alias("content_sha256"), "num_chars"), 16, 42)
     held = H.hash_fraction(F.col("content_sha256"), H.EXCLUSIVE) < 0.1
     return d.withColumns({"item_id": F.col("source_id"), "tokens": F.greatest(F.lit(1), F.ceil(F.col("num_chars") / 4)).cast("long"), "holdout": held, "reason": F.when(F.col("num_chars") < _MIN_CHARS, "too_short")})
@@ -261,9 +271,9 @@ _WINDOWED = f"""{_DOCS}, i AS (SELECT *, (row_number() OVER (PARTITION BY source
     q AS (SELECT *, CASE WHEN before >= {_QUOTA} THEN 'over_quota' WHEN NOT ok THEN 'too_short' WHEN held THEN 'holdout' ELSE 'train' END AS disposition FROM g)"""
 
 
-@_query(f"WITH {_WINDOWED} SELECT doc_id AS row_index, disposition FROM q")
+@_query(f"WITH {_WINDOWED} SELECT doc_id AS row_index, disposition FROM q", nfkc=True)
 def quota_fill(t):
-    rows = _quota_rows(t).withColumn("content_sha256", F.col("row_index").cast("string"))
+    rows = _quota_rows(t, False).withColumn("content_sha256", F.col("row_index").cast("string"))
     return quota.fill_quotas(rows, _quotas(t), _ORDER).select("row_index", "disposition")
 
 
@@ -273,9 +283,9 @@ def quota_fill_deduplicated(t):
 
 
 @_query(f"""WITH {_WINDOWED} SELECT source AS item_id, {_QUOTA}::BIGINT AS requested_tokens, coalesce(sum(tokens) FILTER (disposition = 'train'), 0)::BIGINT AS quota_tokens, count(*) FILTER (disposition = 'train') AS documents,
-    count(*) FILTER (disposition = 'holdout') AS holdout_documents FROM q GROUP BY source""")
+    count(*) FILTER (disposition = 'holdout') AS holdout_documents FROM q GROUP BY source""", nfkc=True)
 def item_statistics(t):
-    rows = _quota_rows(t).withColumn("content_sha256", F.col("row_index").cast("string"))
+    rows = _quota_rows(t, False).withColumn("content_sha256", F.col("row_index").cast("string"))
     return quota.item_statistics(quota.fill_quotas(rows, _quotas(t), _ORDER), _quotas(t))
 
 

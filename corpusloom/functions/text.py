@@ -54,10 +54,15 @@ def _normal_udf(column: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(shas, pa.string()), pa.array(sizes, pa.int64())], ["text", "sha256", "chars"])
 
 
-_normalize_udf, _casefold_udf = _texts(normalize), _texts(str.casefold)
+_nfkc_udf, _normalize_udf, _casefold_udf = _texts(nfkc), _texts(normalize), _texts(str.casefold)
 _normal_udf = _normal_udf.asNondeterministic()
 
 
+def nfkc_col(text: Column) -> Column:
+    """:func:`nfkc` as a Column."""
+    return _nfkc_udf(text)
+
+
 def normalize_col(text: Column, already_nfkc: bool = False) -> Column:
     """:func:`normalize` as a Column. Spark has no NFKC, so it is a pass over Arrow batches; texts known to be NFKC stay in the JVM."""
     if not already_nfkc:

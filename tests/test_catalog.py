@@ -74,3 +74,31 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["reason", "split", "documents", "total_chars"] and df.count() > 1
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_raw_texts_are_brought_to_nfkc(spark, tmp_path):
+    """Queries over raw texts against brute force, on texts that only NFKC makes equal."""
+    import hashlib
+
+    from corpusloom.functions.text import normalize
+
+    texts = ["\ufb01ne text", "fine text", "\uff21\uff22\uff23 long enough", "ABC long enough", "plain", None, "x\u00b2", "e\u0301t\u00e9", "\u00e9t\u00e9"]
+    texts += [("wide \uff37\uff4f\uff52\uff44 " * 20).strip(), ("wide Word " * 20).strip()]
+    docs = [(i, t, "ab"[i > 4], "en", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "\uff57ide \uff37ord wide")], "item_id long, prompt string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    run = lambda name: entry.queries()[name](spark, str(tmp_path)).collect()
+    plain = {i: normalize(t) for i, t, *_ in docs if t is not None}
+    sha = {i: hashlib.sha256(t.encode()).hexdigest() for i, t in plain.items()}
+    firsts = {i for i in sha if i == min(j for j in sha if sha[j] == sha[i])}
+    assert len(firsts) == 6
+    assert {r.doc_id: r.text_sha256 for r in run("first_copies_nfkc")} == {i: sha[i] for i in firsts}
+    assert {r.doc_id for r in run("contamination_join_nfkc")} == {9, 10}
+    assert {r.source: r.documents_sha256 for r in run("documents_digest_nfkc")} == {s: hashlib.sha256("".join(sha[i] for i, _, x, *_ in docs if x == s and i in sha).encode()).hexdigest() for s in "ab"}
+    assert {r.row_index: r.disposition for r in run("quota_fill_nfkc")}[0] == "too_short"
+    assert {r.text_sha256 for r in run("accepted_documents_nfkc")} == set()
+    assert {r.reason: r.documents for r in run("reject_reasons_nfkc")} == {"too_short": 8, "benchmark_contamination": 2}
+    duplicates = [r.row_index for r in run("quota_fill_deduplicated") if r.disposition == "duplicate_exact"]
+    assert len(duplicates) == 1 and duplicates[0] in (9, 10)
+    got = {tuple(r) for r in run("block_digests")}
+    assert got == {tuple(r) for r in catalog.H.block_digest(spark.createDataFrame([(i, x, sha[i]) for i, _, x, *_ in docs if i in sha], "doc_id long, source_id string, text_sha256 string"), ["source_id"], "doc_id", "text_sha256", 1000).collect()}
