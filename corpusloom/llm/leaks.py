@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 
@@ -16,19 +17,26 @@ from corpusloom.llm import kernels as K
 _AUTOMATA: dict = {}
 
 
-def runs_of(passage: str, min_words: int) -> list[str]:
-    """Every run of ``min_words`` words of a passage, as it stands in a text of words set between blanks."""
+def runs_of(passage: str, min_words: int, whole_from: int | None = None) -> list[str]:
+    """Every run of ``min_words`` words of a passage, as it stands in a text of words set between blanks. A shorter passage of at least ``whole_from`` words is one run."""
     words = K.words_of(nfkc(passage))
+    if len(words) < min_words:
+        return [f" {' '.join(words)} "] if whole_from and len(words) >= whole_from else []
     return [f" {' '.join(words[i : i + min_words])} " for i in range(len(words) - min_words + 1)]
 
 
-def _automaton(key: str, patterns: list[tuple[str, list[int]]]):
-    """One automaton per worker process and set of patterns."""
+def _automaton(key: str, items: list[tuple[int, list[str]]], min_words: int, whole_from: int | None):
+    """One automaton per worker process and set of passages."""
     if key not in _AUTOMATA:
         _AUTOMATA.clear()
+        patterns: dict[str, set[int]] = {}
+        for item, passages in items:
+            for passage in passages:
+                for pattern in runs_of(passage, min_words, whole_from):
+                    patterns.setdefault(pattern, set()).add(item)
         a = ahocorasick.Automaton()
-        for pattern, owners in patterns:
-            a.add_word(pattern, (len(pattern), owners))
+        for pattern, owners in patterns.items():
+            a.add_word(pattern, (len(pattern), sorted(owners)))
         if patterns:
             a.make_automaton()
         _AUTOMATA[key] = a
@@ -80,7 +88,10 @@ def _scan(text: str, automaton) -> dict[int, tuple[int, int, int]]:
             else:
                 runs.append([first, last, first])
         first, last, _ = max(runs, key=lambda r: (r[1] - r[0], -r[0]))
-        covered = len({w for r in runs for w in range(r[0], r[1])})
+        covered, upto = 0, 0
+        for r in runs:  # they begin in rising order
+            covered += max(0, r[1] - max(r[0], upto))
+            upto = max(upto, r[1])
         out[owner] = (first, last, covered)
     return out
 
@@ -94,41 +105,41 @@ def leaked_passages(
     item_col: str = "item_id",
     passage_cols: tuple[str, ...] = ("prompt",),
     min_words: int = 12,
-    max_pattern_bytes: int = 128 << 20,
+    whole_from: int | None = None,
+    max_nodes: int = 4_000_000,
 ) -> DataFrame:
     """Documents that hold ``min_words`` or more consecutive words of an evaluation item's passages.
 
     All runs of ``min_words`` normalized words of the items make one Aho-Corasick automaton, through which every text
-    goes once; there is no join and no shuffle. The items are a fixed set of tests, read to the driver behind a check
-    of their size: above ``max_pattern_bytes`` of patterns they go through in as many automata as keep to that bound,
-    each of them one scan of the corpus. Nothing is left out either way.
+    goes once; there is no join and no shuffle. Passages shorter than that count where they stand whole if they have at
+    least ``whole_from`` words (null: they don't count). ``passage_cols`` are strings or arrays of strings, as questions
+    and answers.
+
+    The items are a fixed set of tests. Their passages, not the patterns, come to the driver and go to the workers, in blocks whose
+    automata have at most ``max_nodes`` nodes (some 50 bytes each, per worker process), all passages of an item in one block: each block
+    is one scan of the corpus, and the rows are the same however many there are. An item that alone is larger makes a block of its own.
 
     Returns ``doc_id, item_id, words`` (the longest run), ``covered_words`` (words of the text in any run), and ``start,
     end``: where that longest run stands in the raw text (null where combining marks leave no exact place).
 
-    Null texts and passages, and passages of fewer words than ``min_words``, give no rows. Repeated items count once;
-    repeated document rows give repeated rows. Empty tables give no rows. Other columns are ignored.
+    Null texts, items and passages, and passages too short to count, give no rows. Repeated items count once, the passages of rows with
+    the same item together; repeated document rows give repeated rows. Empty tables give no rows. Other columns are ignored.
     """
     schema = "doc_id long, item_id long, words int, covered_words int, start int, end int"
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks: list[dict[str, set[int]]] = [{}]
-    held = 0
-    for row in items.select(F.col(item_col).cast("long").alias("item"), *[F.col(c).alias(f"p{i}") for i, c in enumerate(passage_cols)]).distinct().toLocalIterator():
-        patterns = {p for passage in row[1:] if passage and row.item is not None for p in runs_of(passage, min_words)}
-        size = sum(len(p.encode()) for p in patterns)
-        if blocks[-1] and held + size > max_pattern_bytes:  # an item's patterns stay together
-            blocks, held = [*blocks, {}], 0
-        held += size
-        for pattern in patterns:
-            blocks[-1].setdefault(pattern, set()).add(row.item)
+    kinds = {f.name: f.dataType.typeName() for f in items.schema}
+    each = [F.col(c) if kinds[c] == "array" else F.array(c) for c in passage_cols]
+    passages = items.filter(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in each]).alias("p"))
+    passages = passages.groupBy("item").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("p")))).alias("p")).orderBy("item")
+    spark = documents.sparkSession
     out = None
-    sc = documents.sparkSession.sparkContext
-    for number, block in enumerate(blocks):
-        shared = sc.broadcast([(p, sorted(o)) for p, o in block.items()])
-        key = f"{sc.applicationId}-{shared.id if hasattr(shared, 'id') else id(shared)}-{number}"
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
-            automaton = _automaton(key, shared.value)
+    def scan(block: list[tuple[int, list[str]]]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
+        key = hashlib.sha256(repr((block, min_words, whole_from)).encode("utf-8", "surrogatepass")).hexdigest()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = _automaton(key, shared.value, min_words, whole_from)
             for batch in batches:
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -140,11 +151,21 @@ def leaked_passages(
                         place = (spans[first][0], spans[last - 1][1]) if spans is not None else (None, None)
                         rows.append((doc, item, last - first, covered, *place))
                 columns = list(zip(*rows)) if rows else [[]] * 6
-                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "item_id", "words", "covered_words", "start", "end"])
-
-        hits = docs.mapInArrow(run, schema)
-        out = hits if out is None else out.unionByName(hits)
-    if len(blocks) > 1:  # rows of one item with different passages may lie in two blocks
-        out = out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("words", "start", "end"), "words").alias("r"), F.max("covered_words").alias("covered_words")).select("doc_id", "item_id", "r.words", "covered_words", "r.start", "r.end")
-    return out
+                types = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], ["doc_id", "item_id", "words", "covered_words", "start", "end"])
+
+        return docs.mapInArrow(run, schema)
+
+    block, nodes = [], 0
+    for row in passages.toLocalIterator():
+        texts = [p for p in row.p if p]
+        size = sum(len(p) for t in texts for p in runs_of(t, min_words, whole_from))
+        if block and nodes + size > max_nodes:
+            hits = scan(block)
+            out = hits if out is None else out.unionByName(hits)
+            block, nodes = [], 0
+        if size:
+            block.append((row.item, texts))
+            nodes += size
+    hits = scan(block)
+    return hits if out is None else out.unionByName(hits)

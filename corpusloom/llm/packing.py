@@ -11,29 +11,36 @@ from pyspark.sql import functions as F
 from corpusloom.session import store
 
 
-def fullest_subset(counts: dict[int, int], capacity: int) -> list[int]:
+def fullest_subset(counts: dict[int, int], capacity: int, span: int = 1 << 17) -> list[int]:
     """Lengths out of the multiset ``counts`` whose sum is as close to ``capacity`` as any; the longest is always in it.
 
     Reachable sums are the bits of one integer. A length with a count of c goes in as 1, 2, 4 ... copies, so that every
-    step is one shift; going back over the steps gives the copies taken. Lengths are at most ``capacity``.
+    step is one shift; going back over the steps gives the copies taken. Lengths are at most ``capacity``. Where more than
+    ``span`` is to be filled, the longest lengths go in first, until so much is left for the sums: their integers stay small.
     """
     longest = max(counts)
-    mask = (1 << (capacity - longest + 1)) - 1
+    out, room, used = [longest], capacity - longest, {longest: 1}
+    if room > span:
+        for length in sorted(counts, reverse=True):
+            take = min(counts[length] - used.get(length, 0), (room - span) // length)
+            if take > 0:
+                out += [length] * take
+                used[length] = used.get(length, 0) + take
+                room -= length * take
+    mask = (1 << (room + 1)) - 1
     reach, steps = 1, []
     for length in sorted(counts, reverse=True):
-        left = counts[length] - (length == longest)
-        if length > capacity - longest:
+        if length > room:
             continue
-        left, power = min(left, (capacity - longest) // length), 1
+        left, power = min(counts[length] - used.get(length, 0), room // length), 1
         while left > 0:
             take = min(power, left)
             steps.append((length, take, reach))
             reach |= (reach << (length * take)) & mask
             left, power = left - take, power * 2
-        if reach >> (capacity - longest) & 1:
+        if reach >> room & 1:
             break
     total = reach.bit_length() - 1
-    out = [longest]
     for length, take, before in reversed(steps):
         if not before >> total & 1:
             out += [length] * take
@@ -70,15 +77,19 @@ def pack(
     id_col: str = "record_id",
     ids_col: str = "ids",
     group_cols: tuple[str, ...] = ("build_id", "stage", "split"),
-    window: int = 4000,
+    window_pieces: int = 4000,
+    window_shards: int = 256,
+    most_pieces: int = 400_000,
 ) -> DataFrame:
     """Assign records to shards of the capacity of their stage and split with as little room left as possible.
 
     A record longer than a shard is cut into full shards and a rest; no other record is cut. Whole records and rests are
     packed by minimum bin slack: each shard takes the longest length left and the multiset of remaining lengths that
-    fills it closest to capacity. Groups are dealt by a hash of the record id into windows of about ``window`` pieces,
-    however large a group is, so no task holds a group; a window leaves at most about one shard part empty. Only ids and
-    lengths move; the token arrays stay where they are (:func:`fill` puts them in).
+    fills it closest to capacity. Groups are dealt by a hash of the record id into windows, however large a group is, so no task
+    holds a group. A window is sized by tokens: it has the pieces of about ``window_shards`` shards, at least ``window_pieces``, and no more
+    than ``most_pieces`` unless eight shards need more. Shards that a window couldn't fill to 99.5 % are opened, and their pieces packed
+    again in fewer windows, until a group has one; what is moved shrinks with every round. Only ids and lengths move; the token arrays
+    stay where they are (:func:`fill` puts them in).
 
     Returns one row per piece: the group columns, ``record_id, piece, pieces, start, length`` (tokens of ``ids`` in the
     piece and where they begin), ``eos`` (1 where the piece ends with the end token), ``window, shard, place`` (order within
@@ -89,6 +100,7 @@ def pack(
     and capacity. Equal lengths are taken in order of descending id. Empty tables give no rows; other columns are ignored.
     """
     groups = list(group_cols)
+    spark = records.sparkSession
     items = (
         records.filter(F.col(ids_col).isNotNull())
         .select(F.col(id_col).cast("long").alias("record_id"), *groups, F.size(ids_col).alias("tokens"))
@@ -98,46 +110,72 @@ def pack(
     items = store(
         items.join(rules, ["stage", "split"], "left")
         .withColumn("capacity", F.when(F.col("capacity") > 0, F.col("capacity")))
-        .withColumn("full", F.col("tokens") + F.coalesce("with_eos", F.lit(0)))
+        .withColumn("with_eos", F.coalesce("with_eos", F.lit(0)))
+        .withColumn("full", F.col("tokens") + F.col("with_eos"))
         .withColumn("pieces", F.coalesce(F.greatest(F.lit(1), F.ceil(F.col("full") / F.col("capacity"))), F.lit(1)).cast("int")),
         "pack-items",
     )
-    fits = items.filter("capacity is not null")
-    count = fits.groupBy(*groups).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(window))).cast("int").alias("windows"))
-    count = count.select(*[F.col(g).alias(f"_{g}") for g in groups], "windows")  # one small row per group
-    placed = (
-        fits.join(count, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups])
-        .select(*groups, "record_id", "tokens", "full", "pieces", "capacity", F.coalesce("with_eos", F.lit(0)).alias("with_eos"), F.pmod(F.xxhash64("record_id"), "windows").cast("int").alias("window"))
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
     out = [*groups, "record_id", "piece", "pieces", "start", "length", "eos", "window", "shard", "place", "capacity"]
-    schema = ", ".join([*(f"{g} {kinds[g]}" for g in groups), "record_id long, piece int, pieces int, start long, length long, eos int, window int, shard int, place int, capacity long"])
+    kinds = {f.name: f.dataType.simpleString() for f in items.schema}
+    front = "".join(f"{g} {kinds[g]}, " for g in groups)
+    schema = front + "record_id long, piece int, pieces int, start long, length long, eos int, window int, shard int, place int, capacity long"
+    loose = items.filter("capacity is null").select(
+        *groups, "record_id", F.lit(0).alias("piece"), "pieces", F.lit(0).cast("long").alias("start"), F.col("tokens").cast("long").alias("length"),
+        F.col("with_eos").alias("eos"), *[F.lit(None).cast("int").alias(c) for c in ("window", "shard", "place")], F.lit(None).cast("long").alias("capacity"),
+    )
 
     def fill_window(pdf: pd.DataFrame) -> pd.DataFrame:
-        capacity = int(pdf["capacity"].iloc[0])
-        pdf = pdf.sort_values("record_id")
-        rows, rest, lengths, shard = [], [], [], 0
-        for record, tokens, full, pieces, eos in zip(pdf["record_id"], pdf["tokens"], pdf["full"], pdf["pieces"], pdf["with_eos"]):
-            for piece in range(pieces - 1):
-                # only the end token may lie beyond the ids, and it is in the last piece
-                rows.append((record, piece, pieces, piece * capacity, min(capacity, tokens - piece * capacity), 0, shard, 0))
-                shard += 1
-            rest.append((record, pieces - 1, pieces, (pieces - 1) * capacity, max(0, tokens - (pieces - 1) * capacity), eos))
-            lengths.append(full - (pieces - 1) * capacity)
+        capacity, alone = int(pdf["capacity"].iloc[0]), int(pdf["windows"].iloc[0]) == 1
+        pdf = pdf.sort_values(["record_id", "piece"], ignore_index=True)
+        shard = 0
+        cols = {c: pdf[c].tolist() for c in ("record_id", "tokens", "pieces", "piece", "with_eos")}
+        rows, rest, lengths = [], [], []
+        for record, tokens, pieces, piece, eos in zip(*cols.values()):
+            if piece < 0:  # a record that wasn't placed before: its full shards first; only the end token may lie beyond the ids, and it is in the last piece
+                for piece in range(pieces - 1):
+                    rows.append((record, piece, pieces, piece * capacity, min(capacity, tokens - piece * capacity), 0, shard, 0))
+                    shard += 1
+                piece = pieces - 1
+            rest.append((record, piece, pieces, piece * capacity, max(0, tokens - piece * capacity), eos))
+            lengths.append(rest[-1][4] + eos)
         for positions in pack_lengths(lengths, capacity):
-            rows += [(*rest[i], shard, place) for place, i in enumerate(positions)]
-            shard += 1
+            opened = not alone and sum(lengths[i] for i in positions) < capacity - capacity // 200
+            rows += [(*rest[i], -1 if opened else shard, place) for place, i in enumerate(positions)]
+            shard += not opened
         done = pd.DataFrame(rows, columns=["record_id", "piece", "pieces", "start", "length", "eos", "shard", "place"])
         for g in groups:
             done[g] = pdf[g].iloc[0]
         return done.assign(window=int(pdf["window"].iloc[0]), capacity=capacity)[out]
 
-    packed = placed.groupBy(*groups, "window").applyInPandas(fill_window, schema)
-    loose = items.filter("capacity is null").select(
-        *groups, "record_id", F.lit(0).alias("piece"), "pieces", F.lit(0).cast("long").alias("start"), F.col("tokens").cast("long").alias("length"),
-        F.coalesce("with_eos", F.lit(0)).alias("eos"), *[F.lit(None).cast("int").alias(c) for c in ("window", "shard", "place")], F.lit(None).cast("long").alias("capacity"),
-    )
-    return packed.unionByName(loose)
+    same = lambda table: [F.col(g).eqNullSafe(table[f"_{g}"]) for g in groups]
+    left = items.filter("capacity is not null").select(*groups, "record_id", "tokens", "pieces", F.lit(-1).alias("piece"), "capacity", "with_eos", (F.col("full") - (F.col("pieces") - 1) * F.col("capacity")).alias("rest"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first, before, done = 0, None, [loose]
+    while True:
+        n, t, c = F.count("*"), F.sum("rest"), F.max("capacity")
+        windows = F.greatest(F.least(F.floor(n / window_pieces), F.floor(t / (window_shards * c))), F.least(F.ceil(n / most_pieces), F.floor(t / (8 * c))), F.lit(1)).cast("int")
+        sizes = left.groupBy(*groups).agg(windows.alias("windows")).select(*[F.col(g).alias(f"_{g}") for g in groups], "windows")
+        if before is not None:  # fewer windows in every round
+            old = before.select(*[F.col(f"_{g}").alias(f"_b{i}") for i, g in enumerate(groups)], F.col("windows").alias("_had"))
+            sizes = sizes.join(old, [F.col(f"_{g}").eqNullSafe(F.col(f"_b{i}")) for i, g in enumerate(groups)]).select(*[f"_{g}" for g in groups], F.least("windows", F.ceil(F.col("_had") / 4).cast("int")).alias("windows"))
+        sizes = store(sizes, "pack-windows")  # one small row per group
+        top = sizes.agg(F.max("windows")).first()[0] or 0
+        dealt = left.join(sizes, same(sizes)).withColumn("window", (F.pmod(F.xxhash64("record_id"), "windows") + first).cast("int"))
+        # a number of partitions of its own: they are small in bytes, but not in work
+        packed = dealt.select(*groups, "record_id", "tokens", "pieces", "piece", "capacity", "with_eos", "windows", "window").repartition(parts, *groups, "window").groupBy(*groups, "window").applyInPandas(fill_window, schema)
+        if top <= 1:
+            done.append(packed)
+            break
+        packed = store(packed, "packed")
+        done.append(packed.filter("shard >= 0"))
+        left = packed.filter("shard < 0").select(
+            *groups, "record_id", (F.col("start") + F.col("length")).cast("int").alias("tokens"), "pieces", "piece", "capacity", F.col("eos").alias("with_eos"), (F.col("length") + F.col("eos")).alias("rest")
+        )
+        first, before = first + top, sizes
+    result = done[0]
+    for part in done[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def fill_report(packed: DataFrame, written: DataFrame, group_cols: tuple[str, ...] = ("build_id", "stage", "split")) -> DataFrame:

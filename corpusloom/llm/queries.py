@@ -50,8 +50,15 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded records that had to be cut, since no shard of theirs can hold them."""
-    return _packed(spark, sf_dir).filter("pieces > 1").select("record_id").distinct()
+    """Encoded records that were placed in more than one piece, since no shard of theirs can hold them."""
+    return _packed(spark, sf_dir).filter("shard is not null").groupBy("record_id").agg(F.count_distinct("piece").alias("n")).filter("n > 1").select("record_id")
+
+
+def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, tokens placed and records cut, by build, stage and split: what any packing must place."""
+    groups = ("build_id", "stage", "split")
+    each = _packed(spark, sf_dir).filter("shard is not null").groupBy(*groups, "record_id").agg(F.sum(F.col("length") + F.col("eos")).alias("t"), F.count("*").alias("n"))
+    return each.groupBy(*groups).agg(F.count("*").alias("records"), F.sum("t").alias("tokens"), F.sum((F.col("n") > 1).cast("long")).alias("cut_records"))
 
 
 def p4_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,16 +66,25 @@ def p4_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(_packed(spark, sf_dir), _t(spark, sf_dir, "packed_shards"))
 
 
+def _near_splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    records = _t(spark, sf_dir, "normalized_records")
+    return (*overlap.cross_split_overlap(_t(spark, sf_dir, "documents"), records, similarity=0.6), records)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a training and an evaluation document with equal or near-same texts."""
-    pairs = overlap.cross_split_overlap(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "normalized_records"))
+    pairs = overlap.expand(*_near_splits(spark, sf_dir)[:2])
     return pairs.select(F.least("eval_id", "train_id").alias("doc_id_a"), F.greatest("eval_id", "train_id").alias("doc_id_b")).distinct()
 
 
 def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs counted by evaluation split and source."""
-    records = _t(spark, sf_dir, "normalized_records")
-    return overlap.overlap_counts(overlap.cross_split_overlap(_t(spark, sf_dir, "documents"), records), records)
+    return overlap.overlap_counts(*_near_splits(spark, sf_dir))
+
+
+def p5_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation texts of which at least 0.6 stands in a training text, however long that is: pairs of representatives of equal texts."""
+    return overlap.cross_split_overlap(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "normalized_records"))[0]
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +93,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the longest leaked passage of each item stands in each document, and how many words of the document are in any."""
-    return leaks.leaked_passages(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"))
+    """Where the longest leaked passage of each item's question and answers stands in each document, and how many words of the document are in any;
+    passages of five to eleven words count where they stand whole."""
+    return leaks.leaked_passages(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"), passage_cols=("prompt", "choices"), whole_from=5)
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -87,8 +104,9 @@ def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Targets that their source can't reach, however often it may be repeated."""
-    return _mixed(spark, sf_dir)[1].filter("not reachable").select("stage", "source_id")
+    """Targets that the selection falls short of although it uses all documents of the source as often as allowed."""
+    spent = F.col("reached_tokens") >= F.col("available_tokens") * F.col("max_repeats")
+    return _mixed(spark, sf_dir)[1].filter((F.col("reached_tokens") < F.col("target_tokens")) & spent).select("stage", "source_id")
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +130,7 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_budget, p2_found, p2_statistics, p3_found, p4_found, p4_fill, p5_found, p5_counts, p6_found, p6_places, p7_found, p7_shares, p7_selection, p8_found, p8_pieces)
+    own = (p1_found, p1_budget, p2_found, p2_statistics, p3_found, p4_found, p4_fill, p4_totals, p5_found, p5_counts, p5_contained, p6_found, p6_places, p7_found, p7_shares, p7_selection, p8_found, p8_pieces)
     return {f.__name__: f for f in own}
 
 
@@ -121,4 +139,9 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": """
             SELECT DISTINCT e.record_id FROM encoded_records e JOIN shard_layouts l ON e.stage = l.stage AND e.split = l.split
             WHERE e.ids IS NOT NULL AND len(e.ids) + CASE WHEN l.append_eos THEN 1 ELSE 0 END > l.shard_size_tokens""",
+        "p4_totals": """
+            WITH r AS (SELECT DISTINCT record_id, build_id, stage, split, len(ids) AS n FROM encoded_records WHERE ids IS NOT NULL),
+            w AS (SELECT r.*, r.n + CASE WHEN l.append_eos THEN 1 ELSE 0 END AS full_, l.shard_size_tokens AS cap FROM r JOIN shard_layouts l ON r.stage = l.stage AND r.split = l.split)
+            SELECT build_id, stage, split, COUNT(*) AS records, CAST(SUM(full_) AS BIGINT) AS tokens, CAST(SUM(CASE WHEN full_ > cap THEN 1 ELSE 0 END) AS BIGINT) AS cut_records
+            FROM w GROUP BY build_id, stage, split""",
     }

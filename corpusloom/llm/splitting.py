@@ -130,8 +130,8 @@ def split_documents(
     """Pieces of at most ``limit`` tokens of every document; see :func:`split_text`.
 
     Returns ``doc_id, piece, pieces, start, end, tokens, text``: one row per piece, ``start`` and ``end`` in characters of the
-    raw text, whose slice is ``text``. A document within the limit is one piece. A text of at most ``limit`` bytes can't
-    have more tokens and isn't tokenized; its ``tokens`` are null. One pass without a shuffle; the work per text is linear.
+    raw text, whose slice is ``text``; ``tokens`` is the piece's own count. A document within the limit is one piece. One pass
+    without a shuffle; the work per text is linear.
 
     Null texts give no rows; an empty text is one empty piece. Repeated rows give repeated pieces. An empty table gives no rows.
     Other columns are ignored.
@@ -145,9 +145,6 @@ def split_documents(
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text is None:
                     continue
-                if len(text) <= limit and len(text.encode("utf-8", "surrogatepass")) <= limit:
-                    rows.append((doc, 0, 1, 0, len(text), None, text))
-                    continue
                 pieces = split_text(text, limit, overlap, block, rank_file)
                 rows += [(doc, i, len(pieces), s, e, n, text[s:e]) for i, (s, e, n) in enumerate(pieces)]
             columns = list(zip(*rows)) if rows else [[]] * 7

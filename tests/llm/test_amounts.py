@@ -56,7 +56,7 @@ def test_pack_round_trip(spark, window):
     rows = [(i, "b", "main", rng.choice(["train", "train", "validation"]), [2 + i] * rng.choice([0, 1, 3, 4, 9, 10, 11, 20, 35])) for i in range(120)]
     rows += [(500, "b", "main", "train", None), (501, "b", "main", "broken", [1]), (502, "b", "none", "train", [1, 2]), (503, None, "main", "train", [7] * 4)]
     df = records(spark, rows + rows[:9])
-    out = packing.pack(df, layouts(spark), window=window).collect()
+    out = packing.pack(df, layouts(spark), window_pieces=window, window_shards=3).collect()
     assert {r.record_id for r in out if r.shard is None} == {501, 502} and 500 not in {r.record_id for r in out}
     assert any(r.build_id is None and r.record_id == 503 and r.shard is not None for r in out)
     by = Counter()
@@ -74,7 +74,7 @@ def test_pack_round_trip(spark, window):
             at += r.length
         assert (len(mine) > 1) == (len(ids) + (split == "train") > 10)
         assert sum(r.eos for r in mine) == (split == "train") and all(r.eos == 0 for r in mine[:-1])
-    packed = packing.pack(df, layouts(spark), window=window)
+    packed = packing.pack(df, layouts(spark), window_pieces=window, window_shards=3)
     shards = packing.fill(packed, df).collect()
     tokens = Counter(t for s in shards for t in s.ids)
     want = Counter(t for r in rows if r[4] and r[0] not in (501, 502) for t in r[4])
@@ -82,6 +82,24 @@ def test_pack_round_trip(spark, window):
     assert tokens == want and all(len(s.ids) <= 10 for s in shards)
 
 
+@pytest.mark.parametrize("capacity, count, top", [(256, 6000, 250), (50_000, 6000, 2500), (1_000_000, 6000, 2500), (50_000_000, 180_000, 2500)])
+def test_shards_are_full_at_any_capacity(spark, capacity, count, top):
+    rule = spark.createDataFrame([("m", "train", capacity, True)], "stage string, split string, shard_size_tokens long, append_eos boolean")
+    df = spark.range(count).select(F.col("id").alias("record_id"), F.lit("b").alias("build_id"), F.lit("m").alias("stage"), F.lit("train").alias("split"), F.array_repeat(F.lit(7), (F.pmod(F.xxhash64("id"), F.lit(top - top // 50)) + top // 50).cast("int")).alias("ids"))
+    packed = packing.pack(df, rule, window_pieces=1000, window_shards=64, most_pieces=50_000)
+    by = packed.groupBy("window", "shard").agg(F.sum(F.col("length") + F.col("eos")).alias("t")).collect()
+    assert sum(r.t for r in by) == df.agg(F.sum(F.size("ids") + 1)).first()[0] and max(r.t for r in by) <= capacity
+    least = -(-sum(r.t for r in by) // capacity)
+    assert len(by) <= max(least / 0.98, least + 1)
+    assert packed.select("record_id").distinct().count() == count
+
+
+def test_large_capacities_take_bounded_sums():
+    counts = Counter(random.Random(3).choices(range(50, 2500), k=60_000))
+    chosen = packing.fullest_subset(counts, 50_000_000)
+    assert sum(chosen) == 50_000_000 and not Counter(chosen) - counts
+
+
 def test_fill_report(spark):
     df = records(spark, [(i, "b", "main", "validation", [1] * (6 if i % 2 else 4)) for i in range(20)])
     written = spark.createDataFrame([("b", "main", "validation", i, 10 if i else None) for i in range(10)] * 2, "build_id string, stage string, split string, shard_index int, num_tokens long")

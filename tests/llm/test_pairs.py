@@ -4,6 +4,7 @@ import hashlib
 import inspect
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,8 @@ from corpusloom.functions.text import normalize
 from corpusloom.llm import kernels as K
 from corpusloom.llm.forest import BatchDeduper, HashForest, history, mark_incoming, resolve
 from corpusloom.llm.leaks import leaked_passages, word_spans
-from corpusloom.llm.overlap import cross_split_overlap, overlap_counts
+from corpusloom.llm import dense as D
+from corpusloom.llm.overlap import cross_split_overlap, expand, overlap_counts
 
 VOCAB = [f"w{i}" for i in range(400)]
 
@@ -39,7 +41,8 @@ def corpus(rng, n):
     return out
 
 
-def test_overlap_is_brute_force(spark):
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_overlap_is_brute_force(spark, hot):
     rng = random.Random(5)
     texts = corpus(rng, 60)
     rng.shuffle(texts)
@@ -47,24 +50,68 @@ def test_overlap_is_brute_force(spark):
     splits = {i: rng.choice(["train", "train", "validation", "holdout"]) for i, _ in rows}
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, split string")
     records = spark.createDataFrame([(i, s, "src", "y") for i, s in splits.items() for _ in range(2)], "doc_id long, split string, source_id string, text string")
-    got = cross_split_overlap(docs, records)
-    pairs = {(r.eval_id, r.train_id): r for r in got.collect()}
-    want = {}
     sets = {i: K.shingles(t, 3) for i, t in rows if t is not None}
     plain = {i: normalize(t) for i, t in rows if t is not None}
-    for a in sets:
-        for b in sets:
-            if splits[a] != "train" and splits[b] == "train":
-                both, j = K.jaccard(sets[a], sets[b])
-                if plain[a] == plain[b] or j >= 0.6:
-                    want[a, b] = (both / len(sets[a]) if len(sets[a]) else 1.0, 1.0 if plain[a] == plain[b] else j)
-    assert pairs.keys() == want.keys() and len(want) > 30
-    for k, (c, j) in want.items():
-        assert pairs[k].similarity == pytest.approx(j) and pairs[k].containment == pytest.approx(c)
-        assert pairs[k].eval_split == splits[k[0]]
-    counts = overlap_counts(got, records).collect()
-    assert sum(r.pairs for r in counts) == len(want)
-    assert cross_split_overlap(docs.limit(0), records).count() == 0 and cross_split_overlap(docs, records.limit(0)).count() == 0
+    for least in (0.6, 0.0):
+        links, members = cross_split_overlap(docs, records, similarity=least, hot=hot)
+        got = expand(links, members)
+        pairs = {(r.eval_id, r.train_id): r for r in got.collect()}
+        want = {}
+        for a in sets:
+            for b in sets:
+                if splits[a] != "train" and splits[b] == "train":
+                    both, j = K.jaccard(sets[a], sets[b])
+                    if plain[a] == plain[b] or (len(sets[a]) and both / len(sets[a]) >= 0.6 and j >= least):
+                        want[a, b] = (both / len(sets[a]) if len(sets[a]) else 1.0, 1.0 if plain[a] == plain[b] else j)
+        assert pairs.keys() == want.keys() and len(want) > 30
+        for k, (c, j) in want.items():
+            assert pairs[k].similarity == pytest.approx(j) and pairs[k].containment == pytest.approx(c)
+            assert pairs[k].eval_split == splits[k[0]]
+        counts = {(r["split"], r.source): r for r in overlap_counts(links, members, records).collect()}
+        for s in ("validation", "holdout"):
+            mine = [k for k in want if splits[k[0]] == s]
+            assert (counts[s, "src"].pairs, counts[s, "src"].eval_documents, counts[s, "src"].train_documents) == (len(mine), len({a for a, _ in mine}), len({b for _, b in mine}))
+    for some, others in ((docs.limit(0), records), (docs, records.limit(0))):
+        links, members = cross_split_overlap(some, others)
+        assert links.count() == 0 and overlap_counts(links, members, records).count() == 0
+
+
+def test_evaluation_text_within_a_long_training_text(spark):
+    rng = random.Random(2)
+    words = lambda n: " ".join(f"u{rng.randrange(3000)}" for _ in range(n))
+    evals = [words(120) for _ in range(30)]
+    docs = [(i, t, "holdout") for i, t in enumerate(evals)]
+    docs += [(100 + i, f"{words(2000)} {edit(rng, t, 0.03 * (i % 5))} {words(2000)}", "train") for i, t in enumerate(evals)] + [(200 + i, words(300), "train") for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, split string")
+    links, members = cross_split_overlap(df.drop("split"), df.select("doc_id", "split"))
+    got = {(r.eval_id, r.train_id): r.containment for r in expand(links, members).collect()}
+    assert got[0, 100] == 1.0
+    sets = {i: K.shingles(t, 3) for i, t, _ in docs}
+    want = {(i, j) for i in range(30) for j in sets if j >= 100 and K.jaccard(sets[i], sets[j])[0] >= 0.6 * len(sets[i])}
+    assert got.keys() == want and len(want) >= 25
+    assert cross_split_overlap(df.drop("split"), df.select("doc_id", "split"), similarity=0.6)[0].count() == 0
+
+
+def test_documents_on_both_sides(spark):
+    text = " ".join(VOCAB[:40])
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text), (4, " ".join(VOCAB[50:90]))], "doc_id long, text string")
+    records = spark.createDataFrame([(1, "train", "a"), (1, "holdout", "a"), (2, "holdout", "b"), (3, "validation", "a"), (4, "train", "a"), (4, "holdout", "a")], "doc_id long, split string, source_id string")
+    links, members = cross_split_overlap(docs, records)
+    assert {(r.eval_id, r.train_id) for r in expand(links, members).collect()} == {(2, 1), (3, 1)}
+    assert {(r["split"], r.source, r.eval_documents, r.train_documents, r.pairs) for r in overlap_counts(links, members, records).collect()} == {("holdout", "b", 1, 1, 1), ("validation", "a", 1, 1, 1)}
+
+
+def test_dense_arrays(spark):
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+    mask = np.zeros(1 << 16, np.uint8)
+    D.set_bits(mask, hashes)
+    assert D.has_bits(mask, hashes).all() and D.has_bits(mask, rng.integers(0, 1 << 63, 5000, dtype=np.uint64)).mean() < 0.01
+    counts = np.zeros(1 << 20, np.uint32)
+    np.add.at(counts, D.slots(hashes, 20), 1)
+    rows = spark.createDataFrame([(i, bytearray(d)) for i, d in D.blocks_of(counts)] * 3, "block int, data binary").repartition(3)
+    assert (D.merge(rows, np.uint32, np.add, 1 << 20) == 3 * counts).all()
+    assert not D.merge(rows.limit(0), np.uint32, np.add, 1 << 20).any()
 
 
 def test_leaks_are_brute_force(spark):
@@ -97,10 +144,20 @@ def test_leaks_are_brute_force(spark):
         text = dict(docs)[i]
         assert r.words == want[i, j]
         assert " ".join(K.words_of(normalize(text[r.start : r.end]))) in " ".join(K.words_of(normalize(dict(items)[j])))
-    assert leaked_passages(d, it, max_pattern_bytes=300).select("doc_id", "item_id", "words").exceptAll(leaked_passages(d, it).select("doc_id", "item_id", "words")).count() == 0
+    twice = d.unionByName(d.limit(20))
+    one, many = (sorted(map(str, leaked_passages(twice, it, whole_from=5, max_nodes=m).collect())) for m in (4_000_000, 300))
+    assert one == many and len(one) > len(got)
     assert leaked_passages(d.limit(0), it).count() == 0 and leaked_passages(d, it.limit(0)).count() == 0
 
 
+def test_short_passages_and_answers(spark):
+    d = spark.createDataFrame([(1, "before " + " ".join(VOCAB[:8]) + " after"), (2, " ".join(VOCAB[:7])), (3, "x Answer, of FIVE words here y"), (4, "answer of five words")], "doc_id long, text string")
+    it = spark.createDataFrame([(7, " ".join(VOCAB[:8]), ["answer of five words here", None, "yes"]), (8, None, None)], "item_id long, prompt string, choices array<string>")
+    got = leaked_passages(d, it, passage_cols=("prompt", "choices"), whole_from=5).collect()
+    assert {(r.doc_id, r.item_id, r.words, r.covered_words) for r in got} == {(1, 7, 8, 8), (3, 7, 5, 5)}
+    assert leaked_passages(d, it, passage_cols=("prompt", "choices")).count() == 0
+
+
 def test_spans_map_back():
     text = "Ｆｏｏ ﬁne é x"
     assert [text[s:e] for s, e in word_spans(text)] == ["Ｆｏｏ", "ﬁne", "é", "x"]

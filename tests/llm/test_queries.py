@@ -24,11 +24,17 @@ def test_query(spark, name):
         assert df.columns == COLUMNS[name]
 
 
-def test_cut_records_by_sql(spark):
+def test_unreachable_targets_come_from_the_selection(spark):
+    plan = queries.queries()["p7_found"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan.lower() and "reached_tokens" in plan
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_by_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
     for t in ("encoded_records", "shard_layouts"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    want = sorted(con.sql(queries.oracle_sql()["p4_found"]).fetchall())
-    assert sorted(map(tuple, queries.queries()["p4_found"](spark, SF).collect())) == want
+    want = sorted(con.sql(queries.oracle_sql()[name]).fetchall())
+    assert sorted(map(tuple, queries.queries()[name](spark, SF).collect())) == want
