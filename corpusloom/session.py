@@ -50,22 +50,28 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and go on from a reliable copy in the shared folder: later stages survive a lost executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def new_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark).rstrip('/')}/corpusloom-{tag}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, tag: str) -> DataFrame:
-    """Like :func:`cut`, as a Parquet table: columnar, compressed, and of a size the planner knows."""
+    """Compute ``df`` once and go on from a reliable copy in the shared folder, a Parquet table: later stages survive a lost executor, and the planner knows its size."""
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame | None) -> None:
+    """Delete tables made by :func:`store` that no plan reads any more; anything else is left alone."""
+    from corpusloom.sources.paths import remove
+
+    for df in stored:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            remove(df.sparkSession, path)
 
 
 _SHIPPED: set[str] = set()
