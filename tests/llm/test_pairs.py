@@ -260,13 +260,48 @@ def test_chains_of_links(spark):
     assert {r.id for r in resolve(edges).collect()} == {2, 4, 5, 8}
 
 
-def test_the_prefix_widens_with_the_recall(spark):
-    f = HashForest(spark)
-    assert f.depth(0.9) == 5 and f.depth(f.recall) == 4
+def test_prefixes_widen_for_records_without_a_partner(spark):
+    """The first search takes whole labels; what it misses is found by shorter prefixes, and the recall measured is the one asked for."""
+    rng = random.Random(21)
+    base = [[f"z{rng.randrange(5000)}" for _ in range(300)] for _ in range(400)]
+    far = []
+    for t in base:  # 300 words of which a run is exchanged: similarity a little above 0.6
+        t = list(t)
+        t[100:172] = [f"y{rng.randrange(5000)}" for _ in range(72)]
+        far.append(" ".join(t))
+    forest = HashForest(spark)
+    assert forest.widths() == [5, 3] and forest.widths(0.9) == [5] and forest.reached(5) < 0.97 < 0.9999 <= forest.reached(3)
+    old = forest.keep("documents", forest.sign(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(base)], "id long, text string")))
+    forest.add("documents", old)
+    batch = forest.sign(spark.createDataFrame(list(enumerate(far)), "id long, text string"))
+    found = {d: {r.id for r in forest.locate(batch, 400, d).collect() if r.id == r.other} for d in (5, 3)}
+    assert found[5] < found[3] and 340 < len(found[5]) < 400 and len(found[3]) == 400
+    assert all(K.jaccard(K.shingles(" ".join(b), 3), K.shingles(f, 3))[1] > 0.6 for b, f in zip(base, far))
+
+
+def test_a_second_session_signs_no_history(spark, batches, tmp_path):
+    docs, commits, inc = tables(spark, batches)
+    want = sequential(batches[2], batches[0], batches[1])
+    middle = sorted(i for i, *_ in batches[2])[len(batches[2]) // 2]
+    rows = inc.select(F.col("incoming_id").alias("id"), F.col("text_sha256").alias("given"), "text")
+    path = f"file://{tmp_path}/forest"
+    out = {r.id for r in history(docs, commits, path=path).mark(rows.filter(F.col("id") <= middle)).collect() if r.reason}
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("corpusloom_run_")]:
+        spark.sql(f"DROP TABLE {name}")  # as a new session knows none
 
+    class Unsigned(HashForest):
+        def sign(self, texts):
+            assert "given" in texts.columns, "history is signed again"
+            return super().sign(texts)
 
-def test_a_pair_at_the_limit_is_missed_once_in_ten_thousand(spark, batches):
-    docs, commits, _ = tables(spark, batches)
-    for f in (HashForest(spark), history(docs, commits).forest):
-        assert (1 - f.similarity**f.shortest) ** f.trees <= 1e-4
-    assert inspect.signature(mark_incoming).parameters["recall"].default == 0.9999
+    forest = Unsigned.open(spark, path)
+    accepted = commits.select(F.explode("accepted_hashes").alias("sha")).filter("sha is not null").select(F.lower("sha").alias("sha")).distinct()
+    again = BatchDeduper(spark, accepted, docs.select(F.col("doc_id").alias("id"), "text"), forest, earlier=rows.filter(F.col("id") <= middle))
+    assert {r[0] for r in forest.runs} == {"documents", "incoming"}
+    out |= {r.id for r in again.mark(rows.filter(F.col("id") > middle)).collect() if r.reason}
+    assert out == want
+
+
+def test_a_pair_at_the_limit_is_missed_once_in_ten_thousand(spark):
+    f = HashForest(spark)
+    assert f.reached(f.widths()[-1]) >= 0.9999 and inspect.signature(mark_incoming).parameters["recall"].default == 0.9999
