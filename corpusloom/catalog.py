@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import hashing as H
 from corpusloom.functions import repetition as R
 from corpusloom.functions import scalars as S
-from corpusloom.functions.text import casefold_col, nfkc_col, normalize_col, word_tokens
+from corpusloom.functions.text import casefold_col, nfkc_col, normal_form, normalize_col, word_tokens
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import audits, evaluation, filters, quota, records, runs, tokens, windows
 from corpusloom.plans import pipelines
@@ -24,16 +25,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
-def _query(sql: str | None = None, nfkc: bool = False):
-    """Registers a query. Those whose SQL states normalization without NFKC, which it can't express, take ``nfkc=True``: they are registered as ``NAME_nfkc`` too, over NFKC texts."""
+def _query(sql: str | None = None):
+    """Registers a query with the SQL that states the same."""
 
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         _QUERIES[f.__name__] = call
-        if nfkc:
-            _QUERIES[f"{f.__name__}_nfkc"] = lambda spark, sf_dir: f(_nfkc_tables(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")))
         if sql:
             _SQL[f.__name__] = sql
         return f
@@ -44,6 +43,27 @@ def _query(sql: str | None = None, nfkc: bool = False):
 _WS = r"\t\x0b\x0c \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
+#: Stands in the SQL below for the tables whose raw texts are brought to NFKC; see :func:`_nfkc_sql`.
+_NFKC = "/* nfkc */"
+
+
+def _nfkc_sql() -> str:
+    """CTEs ``nfkc_documents`` and ``nfkc_items``: every compatibility character is exchanged by a table of them, and the rest is canonical composition. The table is
+    made from the standard library's Unicode data."""
+    import sys
+    import unicodedata
+
+    chars = (chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    table = ", ".join(f"('{c}', '" + n.replace("'", "''") + "')" for c in chars if (n := unicodedata.normalize("NFKC", c)) != unicodedata.normalize("NFC", c))
+
+    def cte(name: str, table: str, key: str, text: str, keep: str) -> str:
+        chars = f"SELECT {key}, unnest(regexp_extract_all({text}, '(?s).')) AS ch, generate_subscripts(regexp_extract_all({text}, '(?s).'), 1) AS i FROM {table} WHERE regexp_matches({text}, '[^\\x00-\\x7f]')"
+        flat = f"SELECT {key}, nfc_normalize(string_agg(coalesce(r, ch), '' ORDER BY i)) AS t FROM ({chars}) LEFT JOIN compat ON ch = c GROUP BY {key}"
+        return f"{name} AS (SELECT {keep}, coalesce(t, {text}) AS {text} FROM {table} LEFT JOIN ({flat}) USING ({key}))"
+
+    return f"compat(c, r) AS (VALUES {table}), {cte('nfkc_documents', 'documents', 'doc_id', 'text', 'doc_id, source, lang')}, {cte('nfkc_items', 'eval_items', 'item_id', 'prompt', 'item_id')}"
+
+
 def _norm(text: str) -> str:
     """The steps of normalization after NFKC, as SQL."""
     t = rf"regexp_replace({text}, '\r\n?', chr(10), 'g')"
@@ -54,22 +74,16 @@ def _norm(text: str) -> str:
 
 
 _FOLD = "replace(lower({}), 'ß', 'ss')"
-_DOCS = f"docs AS (SELECT doc_id, source, lang, t AS text, sha256(t) AS sha, length(t) AS num_chars FROM (SELECT *, {_norm('text')} AS t FROM documents WHERE text IS NOT NULL) WHERE t <> '')"
+_DOCS = f"{_NFKC}, docs AS (SELECT doc_id, source, lang, t AS text, sha256(t) AS sha, length(t) AS num_chars FROM (SELECT *, {_norm('text')} AS t FROM nfkc_documents WHERE text IS NOT NULL) WHERE t <> '')"
 _HEX = "('0x' || substr({}, 1, 16))::UBIGINT::DOUBLE"
 _MIN_CHARS = 120
 
 
-def _nfkc_tables(t) -> Callable[[str], DataFrame]:
-    """The tables with the raw texts that are normalized brought to NFKC, the first step of normalization."""
-    raw = {"documents": "text", "eval_items": "prompt"}
-    return lambda name: t(name).withColumn(raw[name], nfkc_col(F.col(raw[name]))) if name in raw else t(name)
-
-
 def _documents(t) -> DataFrame:
-    """Documents as records of texts that are taken as NFKC already: the SQL beside the queries can't state it. :func:`_nfkc_tables` has texts that are."""
+    """Documents as normalized records."""
     d = t("documents").withColumn("row_index", F.col("doc_id"))
-    own = records.simple_records(d.select("row_index", "text"), "documents", "train", already_nfkc=True)
-    return own.drop("source_id").join(d.select("row_index", F.col("source").alias("source_id"), "lang"), "row_index").withColumnRenamed("row_index", "doc_id")
+    own = records.simple_records(d.select("row_index", "text", F.col("source").alias("_source"), "lang"), "documents", "train", keep=("_source", "lang"))
+    return own.drop("source_id").withColumnsRenamed({"row_index": "doc_id", "_source": "source_id"})
 
 
 def _prompts(t) -> list[str]:
@@ -77,7 +91,7 @@ def _prompts(t) -> list[str]:
     return filters.fold_patterns([r.prompt for r in t("eval_items").select("prompt").toLocalIterator() if r.prompt])
 
 
-_REASONS = f"""WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS p FROM eval_items WHERE prompt <> ''),
+_REASONS = f"""WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS p FROM nfkc_items WHERE prompt <> ''),
     c AS (SELECT doc_id, bool_or(contains({_FOLD.format('d.text')}, p.p)) AS hit FROM docs d, p GROUP BY doc_id),
     r AS (SELECT d.*, CASE WHEN num_chars < {_MIN_CHARS} THEN 'too_short' WHEN num_chars > 20000 THEN 'too_long' WHEN hit THEN 'benchmark_contamination' END AS base FROM docs d JOIN c USING (doc_id)),
     f AS (SELECT *, CASE WHEN base IS NOT NULL THEN base WHEN row_number() OVER (PARTITION BY sha, base IS NULL ORDER BY doc_id) > 1 THEN 'duplicate_exact' END AS reason FROM r)"""
@@ -89,13 +103,14 @@ def _judged(t) -> DataFrame:
 
 
 @_query(f"""{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split,
-    count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM f GROUP BY ALL""", nfkc=True)
+    count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM f GROUP BY ALL""")
 def flagship_counts(t):
     j = _judged(t).withColumn("split", H.hash_split(F.col("text_sha256"), 0.1))
     return j.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason"), "split").agg(F.count("*").alias("documents"), F.sum("num_chars").alias("total_chars"))
 
 
-@_query()
+@_query(f"""{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, CASE WHEN reason IS NULL AND {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split,
+    count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM f GROUP BY ALL""")
 def flagship(t):
     """Raw documents through normalization, length, duplicates and contamination to hash splits, counted."""
     policy = filters.QualityPolicy(min_chars=_MIN_CHARS, max_chars=20000)
@@ -104,15 +119,19 @@ def flagship(t):
     return out.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason"), "split").agg(F.count("*").alias("documents"), F.sum("num_chars").alias("total_chars"))
 
 
-@_query(f"SELECT doc_id, sha256(t) AS text_sha256, length(t) AS num_chars FROM (SELECT doc_id, {_norm('text')} AS t FROM documents WHERE text IS NOT NULL)")
+_HASHED = f"WITH {_NFKC} SELECT doc_id, sha256(t) AS text_sha256, length(t) AS num_chars FROM (SELECT doc_id, {_norm('text')} AS t FROM nfkc_documents WHERE text IS NOT NULL)"
+
+
+@_query(_HASHED)
 def normalize_hash(t):
-    n = normalize_col(F.col("text"), already_nfkc=True)
-    return t("documents").filter("text is not null").select("doc_id", H.sha(n).alias("text_sha256"), F.length(n).cast("long").alias("num_chars"))
+    n = t("documents").filter("text is not null").select("doc_id", normal_form(F.col("text")).alias("n"))
+    return n.select("doc_id", F.col("n.sha256").alias("text_sha256"), F.col("n.chars").alias("num_chars"))
 
 
-@_query()
+@_query(_HASHED)
 def normalize_nfkc(t):
-    n = t("documents").filter("text is not null").select("doc_id", normalize_col(F.col("text")).alias("n"))
+    """NFKC apart, the other steps in the JVM."""
+    n = t("documents").filter("text is not null").select("doc_id", nfkc_col(F.col("text")).alias("n")).select("doc_id", normalize_col(F.col("n"), already_nfkc=True).alias("n"))
     return n.select("doc_id", H.sha(F.col("n")).alias("text_sha256"), F.length("n").cast("long").alias("num_chars"))
 
 
@@ -149,26 +168,24 @@ def folded_prompts(t):
     return t("eval_items").filter("prompt is not null").select(H.sha(casefold_col(F.col("prompt"))).alias("folded_sha256"), "item_id")
 
 
-@_query(f"{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS documents, (SELECT count(*) FROM f) AS total FROM f GROUP BY 1", nfkc=True)
+@_query(f"{_REASONS} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS documents, (SELECT count(*) FROM f) AS total FROM f GROUP BY 1")
 def reject_reasons(t):
     return filters.quality_report(_judged(t))
 
 
-@_query(f"{_REASONS} SELECT doc_id, sha AS text_sha256 FROM f WHERE reason IS NULL", nfkc=True)
+@_query(f"{_REASONS} SELECT doc_id, sha AS text_sha256 FROM f WHERE reason IS NULL")
 def accepted_documents(t):
     return _judged(t).filter("reason is null").select("doc_id", "text_sha256")
 
 
-@_query(f"WITH {_DOCS} SELECT min(doc_id) AS doc_id, sha AS text_sha256 FROM docs GROUP BY sha", nfkc=True)
+@_query(f"WITH {_DOCS} SELECT min(doc_id) AS doc_id, sha AS text_sha256 FROM docs GROUP BY sha")
 def first_copies(t):
     return filters.first_copies(_documents(t).select("doc_id", "text_sha256"), "text_sha256", "doc_id")
 
 
-@_query(f"WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS pattern FROM eval_items WHERE prompt <> '') SELECT doc_id FROM docs d WHERE EXISTS (SELECT 1 FROM p WHERE contains({_FOLD.format('d.text')}, p.pattern))", nfkc=True)
+@_query(f"WITH {_DOCS}, p AS (SELECT {_FOLD.format(_norm('prompt'))} AS pattern FROM nfkc_items WHERE prompt <> '') SELECT doc_id FROM docs d WHERE EXISTS (SELECT 1 FROM p WHERE contains({_FOLD.format('d.text')}, p.pattern))")
 def contamination_join(t):
-    p = t("eval_items").filter("prompt <> ''").select(casefold_col(normalize_col(F.col("prompt"), True), full=False).alias("pattern"))
-    d = _documents(t)
-    return filters.contains_any_join(d, "doc_id", casefold_col(F.col("text"), full=False), p).filter("contaminated").select("doc_id")
+    return filters.contains_any(_documents(t), "text", _prompts(t)).filter("contaminated").select("doc_id")
 
 
 @_query("""SELECT r.id, lower(r.text_sha256) AS sha FROM normalized_records r WHERE r.text_sha256 IS NOT NULL AND lower(r.text_sha256) NOT IN (SELECT lower(trim(h)) FROM (SELECT unnest(accepted_hashes) AS h FROM unit_commits) WHERE h IS NOT NULL)""")
@@ -177,24 +194,25 @@ def unseen_records(t):
     return filters.unseen(t("normalized_records").filter("text_sha256 is not null").select("id", F.lower("text_sha256").alias("sha")), seen, "sha").select("id", "sha")
 
 
-@_query(f"""WITH {_DOCS} SELECT CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split, count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM docs GROUP BY 1""", nfkc=True)
+@_query(f"""WITH {_DOCS} SELECT CASE WHEN {_HEX.format('sha')} / 18446744073709551615.0::DOUBLE < 0.1 THEN 'validation' ELSE 'train' END AS split, count(*) AS documents, sum(num_chars)::BIGINT AS total_chars FROM docs GROUP BY 1""")
 def split_statistics(t):
     return A.split_statistics(_documents(t).withColumn("split", H.hash_split(F.col("text_sha256"), 0.1)))
 
 
-@_query(f"WITH {_DOCS} SELECT source, sha256(string_agg(sha, '' ORDER BY doc_id)) AS documents_sha256 FROM docs GROUP BY source", nfkc=True)
+@_query(f"WITH {_DOCS} SELECT source, sha256(string_agg(sha, '' ORDER BY doc_id)) AS documents_sha256 FROM docs GROUP BY source")
 def documents_digest(t):
     return _documents(t).groupBy(F.col("source_id").alias("source")).agg(H.ordered_digest(F.col("doc_id"), F.col("text_sha256")).alias("documents_sha256"))
 
 
-@_query(f"""WITH {_DOCS} SELECT source, list_reduce(list_prepend(repeat('0', 64), list(sha ORDER BY doc_id)), lambda a, x: sha256(unhex(a) || encode(x))) AS chain FROM docs GROUP BY source""", nfkc=True)
+@_query(f"""WITH {_DOCS} SELECT source, list_reduce(list_prepend(repeat('0', 64), list(sha ORDER BY doc_id)), lambda a, x: sha256(unhex(a) || encode(x))) AS chain FROM docs GROUP BY source""")
 def chained_digest(t):
     return _documents(t).groupBy(F.col("source_id").alias("source")).agg(H.chained_digest(F.col("doc_id"), F.col("text_sha256")).alias("chain"))
 
 
-@_query()
+@_query(f"""WITH {_DOCS}, b AS (SELECT source, doc_id // 1000 AS b, count(*) AS n, sha256(string_agg(sha, '' ORDER BY doc_id)) AS d FROM docs GROUP BY ALL), s AS (SELECT source, b // 1000 AS s, sum(n) AS n, sha256(string_agg(d, '' ORDER BY b)) AS d FROM b GROUP BY ALL)
+    SELECT source AS source_id, sum(n)::BIGINT AS documents, sha256(string_agg(d, '' ORDER BY s)) AS digest FROM s GROUP BY source""")
 def block_digests(t):
-    return H.block_digest(_documents(_nfkc_tables(t)), ["source_id"], "doc_id", "text_sha256", 1000)
+    return H.block_digest(_documents(t), ["source_id"], "doc_id", "text_sha256", 1000)
 
 
 _DISTINCT = "r AS (SELECT DISTINCT id, stage, role, source_id, bucket_id, license, split, num_chars, estimated_tokens FROM normalized_records)"
@@ -250,9 +268,9 @@ def with_row_index_by_source(t) -> DataFrame:
 _QUOTA = 6000
 
 
-def _quota_rows(t, nfkc: bool = True) -> DataFrame:
+def _quota_rows(t) -> DataFrame:
     """Documents of every source in shuffled windows, with estimated tokens."""
-    d = _documents(_nfkc_tables(t) if nfkc else t).withColumnRenamed("doc_id", "row_index")
+    d = _documents(t).withColumnRenamed("doc_id", "row_index")
     d = windows.shuffled_windows(d.select("row_index", "source_id", F.col("row_index").cast("string").alias("document_id"), F.col("text_sha256").alias("content_sha256"), "num_chars"), 16, 42)
     held = H.hash_fraction(F.col("content_sha256"), H.EXCLUSIVE) < 0.1
     return d.withColumns({"item_id": F.col("source_id"), "tokens": F.greatest(F.lit(1), F.ceil(F.col("num_chars") / 4)).cast("long"), "holdout": held, "reason": F.when(F.col("num_chars") < _MIN_CHARS, "too_short")})
@@ -271,21 +289,26 @@ _WINDOWED = f"""{_DOCS}, i AS (SELECT *, (row_number() OVER (PARTITION BY source
     q AS (SELECT *, CASE WHEN before >= {_QUOTA} THEN 'over_quota' WHEN NOT ok THEN 'too_short' WHEN held THEN 'holdout' ELSE 'train' END AS disposition FROM g)"""
 
 
-@_query(f"WITH {_WINDOWED} SELECT doc_id AS row_index, disposition FROM q", nfkc=True)
+@_query(f"WITH {_WINDOWED} SELECT doc_id AS row_index, disposition FROM q")
 def quota_fill(t):
-    rows = _quota_rows(t, False).withColumn("content_sha256", F.col("row_index").cast("string"))
+    rows = _quota_rows(t).withColumn("content_sha256", F.col("row_index").cast("string"))
     return quota.fill_quotas(rows, _quotas(t), _ORDER).select("row_index", "disposition")
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {_WINDOWED}, o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY source, win, k, doc_id) AS pos FROM i),
+    r AS (SELECT 0::BIGINT AS pos, NULL::VARCHAR AS source, 0::BIGINT AS used, []::VARCHAR[] AS seen, NULL::BIGINT AS doc_id, NULL::VARCHAR AS disposition UNION ALL
+        SELECT pos, source, (CASE WHEN d = 'train' THEN u + tokens ELSE u END)::BIGINT, CASE WHEN d IN ('train', 'holdout') THEN list_append(seen, sha) ELSE seen END, doc_id, d FROM
+        (SELECT *, CASE WHEN u >= {_QUOTA} THEN 'over_quota' WHEN num_chars < {_MIN_CHARS} THEN 'too_short' WHEN list_contains(seen, sha) THEN 'duplicate_exact' WHEN held THEN 'holdout' ELSE 'train' END AS d FROM
+        (SELECT o.pos, o.source, o.doc_id, o.sha, o.tokens, o.held, o.num_chars, r.seen, CASE WHEN r.source = o.source THEN r.used ELSE 0 END AS u FROM r JOIN o ON o.pos = r.pos + 1)))
+    SELECT doc_id AS row_index, source AS source_id, disposition FROM r WHERE pos > 0""")
 def quota_fill_deduplicated(t):
     return quota.fill_quotas(_quota_rows(t), _quotas(t), _ORDER).select("row_index", "source_id", "disposition")
 
 
 @_query(f"""WITH {_WINDOWED} SELECT source AS item_id, {_QUOTA}::BIGINT AS requested_tokens, coalesce(sum(tokens) FILTER (disposition = 'train'), 0)::BIGINT AS quota_tokens, count(*) FILTER (disposition = 'train') AS documents,
-    count(*) FILTER (disposition = 'holdout') AS holdout_documents FROM q GROUP BY source""", nfkc=True)
+    count(*) FILTER (disposition = 'holdout') AS holdout_documents FROM q GROUP BY source""")
 def item_statistics(t):
-    rows = _quota_rows(t, False).withColumn("content_sha256", F.col("row_index").cast("string"))
+    rows = _quota_rows(t).withColumn("content_sha256", F.col("row_index").cast("string"))
     return quota.item_statistics(quota.fill_quotas(rows, _quotas(t), _ORDER), _quotas(t))
 
 
@@ -375,10 +398,11 @@ def tokenizer_metrics(t):
     return tokens.tokenizer_metrics(tokens.encode(d, TOKENIZER), ["source", "lang"])
 
 
-@_query("SELECT count(*) AS documents, 0::BIGINT AS failures FROM documents WHERE text IS NOT NULL")
+@_query("SELECT doc_id, sha256(text) AS decoded_sha256 FROM documents WHERE text IS NOT NULL")
 def round_trips(t):
-    d = tokens.decode(tokens.encode(t("documents").filter("text is not null").select("text"), TOKENIZER), TOKENIZER)
-    return d.agg(F.count("*").alias("documents"), F.count_if(F.col("decoded") != F.col("text")).alias("failures"))
+    """What comes back from the token ids of every text."""
+    d = tokens.decode(tokens.encode(t("documents").filter("text is not null").select("doc_id", "text"), TOKENIZER).drop("text"), TOKENIZER)
+    return d.select("doc_id", H.sha(F.col("decoded")).alias("decoded_sha256"))
 
 
 @_query()
@@ -435,9 +459,9 @@ def paired_comparison(t):
     return evaluation.paired_losses(_losses(t)).withColumn("mean_loss_difference", F.round("mean_loss_difference", 6))
 
 
-@_query(f"WITH {_LOSS} SELECT seed, count(DISTINCT label) AS labels, count(*) AS rows FROM l WHERE loss < 40 GROUP BY seed HAVING count(*) <> (SELECT count(DISTINCT label) FROM l WHERE loss < 40)")
+@_query(f"WITH {_LOSS} SELECT seed, count(DISTINCT label) AS labels, count(*) AS rows FROM l GROUP BY seed HAVING count(*) <> (SELECT count(DISTINCT label) FROM l)")
 def unequal_seeds(t):
-    return evaluation.unequal_seeds(_losses(t).filter("loss < 40"))
+    return evaluation.unequal_seeds(_losses(t))
 
 
 _GEN = "g AS (SELECT config AS checkpoint_label, item_id::VARCHAR AS generation_id, prompt, array_to_string(choices, ' ') AS text FROM eval_items)"
@@ -481,17 +505,18 @@ def judgment_errors(t):
     return evaluation.judgment_errors(j, key, ["none", "object_swap"])
 
 
-@_query("""WITH s AS (SELECT (label % 3)::VARCHAR AS category, label % 4 AS a, list_position(embedding[1:4], list_min(embedding[1:4])) - 1 AS p FROM embeddings)
+@_query("""WITH s AS (SELECT (label % 3)::VARCHAR AS category, label % len(embedding) AS a, list_position(embedding, list_min(embedding)) - 1 AS p FROM embeddings)
     SELECT category, grouping(category) = 1 AS overall, count(*) AS total, count(*) FILTER (a = p) AS correct, round(count(*) FILTER (a = p) / count(*), 9) AS accuracy FROM s GROUP BY ROLLUP (category)""")
 def choice_accuracy(t):
-    e = t("embeddings").select((F.col("label") % 3).cast("string").alias("category"), (F.col("label") % 4).alias("answer_index"), F.slice("embedding", 1, 4).alias("losses"))
+    e = t("embeddings").select((F.col("label") % 3).cast("string").alias("category"), (F.col("label") % F.size("embedding")).alias("answer_index"), F.col("embedding").alias("losses"))
     return evaluation.choice_accuracy(evaluation.predictions(e)).withColumn("accuracy", F.round("accuracy", 9))
 
 
-@_query("""SELECT 'items/' || config || '/' || item_id AS id, trim(prompt) AS prompt, list_transform(choices, lambda c: trim(c)) AS choices, answer_index AS answer, coalesce(nullif(trim(category), ''), 'items') AS category, 'core' AS config, item_id AS source_index, NULL::VARCHAR AS problem FROM eval_items WHERE config = 'core'""")
+@_query("""SELECT 'items/' || config || '/' || item_id AS id, trim(prompt) AS prompt, list_transform(choices, lambda c: trim(c)) AS choices, answer_index AS answer, coalesce(nullif(trim(category), ''), 'items') AS category, config, item_id AS source_index, NULL::VARCHAR AS problem FROM eval_items""")
 def benchmark_items(t):
-    rows = t("eval_items").filter("config = 'core'").select(F.col("item_id").alias("row_index"), F.col("prompt").alias("question"), "choices", F.element_at("choices", F.col("answer_index") + 1).alias("answer"), F.coalesce("category", F.lit("items")).alias("category"))
-    return evaluation.convert_benchmark(rows, "items", "core")
+    rows = t("eval_items").select("config", F.col("item_id").alias("row_index"), F.col("prompt").alias("question"), "choices", F.element_at("choices", F.col("answer_index") + 1).alias("answer"), F.coalesce("category", F.lit("items")).alias("category"))
+    configs = sorted(r[0] for r in rows.select("config").distinct().collect())  # parts of the benchmark, a handful
+    return functools.reduce(DataFrame.unionByName, (evaluation.convert_benchmark(rows.filter(F.col("config") == c), "items", c) for c in configs))
 
 
 _RUN = "m AS (SELECT user_id % 50 AS run, event_id AS step, CASE WHEN event_type = 'error' THEN value END AS val_loss, CASE WHEN event_type <> 'error' THEN value END AS train_loss, value AS tokens_per_second FROM events)"
@@ -528,11 +553,11 @@ def counter_deltas(t):
 
 
 @_query("""SELECT event_id AS step, round(CASE WHEN event_id < 500 THEN 0.0006 * event_id / 500 WHEN event_id >= 8000 THEN 0.00006 ELSE 0.00006 + 0.5 * (1 + cos(pi() * (event_id - 500) / 7500.0)) * (0.0006 - 0.00006) END, 12) AS lr,
-    CASE WHEN event_id < 2000 THEN 'pilot' WHEN event_id < 6000 THEN 'main' ELSE 'cooldown' END AS phase, round(exp(least(value, 50)), 3) AS perplexity FROM events WHERE value < 12""")
+    CASE WHEN event_id < 2000 THEN 'pilot' WHEN event_id < 6000 THEN 'main' ELSE 'cooldown' END AS phase, printf('%.6e', exp(least(value, 50))) AS perplexity FROM events WHERE value IS NOT NULL""")
 def schedule(t):
-    e = t("events").filter("value < 12").select(F.col("event_id").alias("step"), "value")
+    e = t("events").filter("value is not null").select(F.col("event_id").alias("step"), "value")
     e = runs.phase_of(e, [("pilot", 2000), ("main", 6000), ("cooldown", 9000)], "step")
-    return e.select("step", F.round(S.learning_rate(F.col("step"), 500, 8000, 0.0006, 0.00006), 12).alias("lr"), "phase", F.round(S.perplexity(F.col("value")), 3).alias("perplexity"))
+    return e.select("step", F.round(S.learning_rate(F.col("step"), 500, 8000, 0.0006, 0.00006), 12).alias("lr"), "phase", F.format_string("%.6e", S.perplexity(F.col("value"))).alias("perplexity"))
 
 
 @_query("""WITH c AS (SELECT source_id AS source, count(DISTINCT doc_id) AS documents FROM normalized_records GROUP BY 1), a AS (SELECT source, count(*) AS documents FROM documents GROUP BY 1)
@@ -555,12 +580,12 @@ def quota_status(t):
     return audits.quota_status(q, t("build_progress").groupBy("stage", "source_id").agg(F.max("accepted_quota_tokens").alias("actual_tokens")), ["stage", "source_id"])
 
 
-@_query("SELECT d.doc_id, sum(d.n_chars) OVER (ORDER BY d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NULL AS is_first FROM documents d")
+@_query("SELECT doc_id, coalesce(sum(coalesce(n_chars, 0)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS chars_before FROM documents")
 def global_prefix(t):
-    return windows.prefix_sums(t("documents").select("doc_id", "n_chars"), ["doc_id"], {"b": F.lit(1)}).select("doc_id", (F.col("b") == 0).alias("is_first"))
+    return windows.prefix_sums(t("documents").select("doc_id", "n_chars"), ["doc_id"], {"chars_before": F.coalesce("n_chars", F.lit(0))}).select("doc_id", "chars_before")
 
 
-@_query()
+@_query(f"""WITH {_DOCS}, a AS (SELECT sha, min((source, doc_id)) AS k FROM docs WHERE num_chars >= {_MIN_CHARS} GROUP BY sha) SELECT k[1] AS source_id, count(*) AS records, max(k[2]) + 1 AS row_cursor FROM a GROUP BY 1""")
 def incremental_units(t):
     """The documents through a stream of units in a folder of its own."""
     d = t("documents").select(F.col("doc_id").alias("row_index"), F.col("source").alias("source_id"), "text")
@@ -576,4 +601,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    nfkc = _nfkc_sql()
+    return {name: sql.replace(_NFKC, nfkc) for name, sql in _SQL.items()}

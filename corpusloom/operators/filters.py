@@ -77,7 +77,8 @@ def rejection_reasons(df: DataFrame, policy: QualityPolicy, *, digest: str = "te
     The first that holds counts. A duplicate is a row whose hash an earlier *accepted* row has: contaminated rows are never
     accepted, so each copy of a contaminated text is contaminated, and the set form tests that before the order. First positions are
     found by a partial aggregation, and only hashes with several rows are joined back, so a text with very many copies is no hot
-    group. A null hash is no duplicate of anything. Positions must be distinct.
+    group. A null hash is no duplicate of anything. Positions must be distinct and not null. ``df`` is read three times: pass a stored
+    table where its columns are dear.
     """
     if not policy.enabled:
         return df.withColumn("reason", F.lit(None).cast("string"))
@@ -93,8 +94,10 @@ def rejection_reasons(df: DataFrame, policy: QualityPolicy, *, digest: str = "te
         df.filter("reason is null").groupBy(F.col(digest).alias("_d")).agg(F.min(position).alias("_first"), F.count("*").alias("_n"))
         .filter("_n > 1").select("_d", "_first")
     )
-    late = F.col("reason").isNull() & (F.col(position) > F.col("_first"))
-    return df.join(repeated, F.col(digest) == F.col("_d"), "left").withColumn("reason", F.when(late, "duplicate_exact").otherwise(F.col("reason"))).drop("_d", "_first")
+    # decided on narrow rows; only the positions of duplicates go back to the rows with their texts
+    narrow = df.filter("reason is null").select(F.col(position).alias("_p"), F.col(digest).alias("_h"))
+    late = narrow.join(repeated, F.col("_h") == F.col("_d")).filter("_p > _first").select("_p")
+    return df.join(late, F.col(position) == F.col("_p"), "left").withColumn("reason", F.when(F.col("_p").isNotNull(), "duplicate_exact").otherwise(F.col("reason"))).drop("_p")
 
 
 def first_copies(df: DataFrame, digest: str, position: str) -> DataFrame:

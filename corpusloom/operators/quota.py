@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.windows import mark_ranges, prefix_sums, range_sums
-from corpusloom.session import store
+from corpusloom.session import discard, store
 
 
-def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item: str = "item_id", tokens: str = "tokens", digest: str = "content_sha256", holdout: str = "holdout", reason: str = "reason", max_rounds: int = 60, filter_first: bool = False) -> DataFrame:
+def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item: str = "item_id", tokens: str = "tokens", digest: str = "content_sha256", holdout: str = "holdout", reason: str = "reason", parallel_rounds: int = 12, stretch: int = 100_000, filter_first: bool = False) -> DataFrame:
     """Take documents in order until each item's quota of tokens is reached, exact duplicates of accepted ones left out.
 
     ``records`` has the order columns (a total order over all items and stages, no two rows alike), item, tokens, content hash, ``holdout`` and the reason
@@ -19,7 +19,9 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
 
     Whether a row is accepted depends on earlier rows only, so these conditions have exactly one solution. It is found for all items and
     sources at once, as the fixed point of testing every row against the last round's accepted rows; a round that changes nothing proves it.
-    A round is an aggregation by hash and a prefix sum by item, neither of which needs an item or a group of copies to fit into a task.
+    A round is an aggregation by hash and a prefix sum by item, neither of which needs an item or a group of copies to fit into a task. Rows before
+    the first that changes are final. Where long chains of dependence leave changes after ``parallel_rounds`` rounds, the next ``stretch`` rows
+    from that row on, sizes and hashes only, are gone through one by one, and rounds go on behind them; so it always ends.
 
     Returns the rows with ``accepted`` and ``disposition``: ``train``, ``holdout``, ``duplicate_exact``, the given reason, or ``over_quota`` for rows that
     come when their item is full (which are neither tested nor remembered). With ``filter_first`` rows are tested before their item is looked at, so that
@@ -35,20 +37,29 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
     )
     light = light.join(planned, F.col("_item") == F.col("_i"), "left").withColumn("_quota", missing).drop("_i")
     light = prefix_sums(light, keys, {"_pos": F.lit(1)}).withColumns({"_ok": F.col("_reason").isNull(), "_acc": F.col("_reason").isNull(), "_open": F.lit(True), "_dup": F.lit(False)})
-    state = mark_ranges(light, ["_pos"], ["_item"])
-    for _ in range(max_rounds):
+    state, last = mark_ranges(light, ["_pos"], ["_item"]), None
+    rounds, frozen = 0, 0
+    while True:
+        rounds += 1
         counted = F.when(F.col("_acc") & ~F.col("_h"), F.col("_t")).otherwise(0)
         sums = range_sums(state, ["_pos"], {"_before": counted}, ["_item"])
         first = state.groupBy("_d").agg(F.min(F.when(F.col("_acc"), F.col("_pos"))).alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null").select(F.col("_d").alias("_known"), "_first")
         tested = sums.join(first, F.col("_d") == F.col("_known"), "left").withColumn("_o", F.col("_before") < F.col("_quota")).withColumn("_u", F.coalesce(F.col("_first") < F.col("_pos"), F.lit(False)))
         tested = tested.withColumn("_a", F.col("_ok") & F.col("_o") & ~F.col("_u"))
+        if frozen:  # gone through one by one
+            tested = tested.withColumns({n: F.when(F.col("_pos") < frozen, F.col(o)).otherwise(F.col(n)) for n, o in (("_a", "_acc"), ("_o", "_open"), ("_u", "_dup"))})
         changed = (F.col("_a") != F.col("_acc")) | (F.col("_o") != F.col("_open")) | (F.col("_u") != F.col("_dup"))
         new = store(tested.withColumn("_c", changed).drop("_acc", "_open", "_dup", "_before", "_known", "_first").withColumnsRenamed({"_a": "_acc", "_o": "_open", "_u": "_dup"}), "quota-round")
-        state = new.drop("_c")
-        if new.filter("_c").isEmpty():
+        discard(last)
+        last, state = new, new.drop("_c")
+        first_change = new.filter("_c").agg(F.min("_pos")).first()[0]
+        if first_change is None:
             break
-    else:
-        raise RuntimeError(f"the quotas didn't settle within {max_rounds} rounds")
+        if rounds >= parallel_rounds:
+            rounds, frozen = 0, first_change + stretch
+            settled = store(_one_by_one(state, first_change, frozen), "stretch")
+            state = state.join(settled.withColumnsRenamed({c: f"_n{c}" for c in ("_acc", "_open", "_dup")}).withColumnRenamed("_pos", "_p"), F.col("_pos") == F.col("_p"), "left")
+            state = state.withColumns({c: F.coalesce(f"_n{c}", c) for c in ("_acc", "_open", "_dup")}).drop("_p", "_n_acc", "_n_open", "_n_dup")
     full, tests = [(~F.col("_open"), F.lit("over_quota"))], [(~F.col("_ok"), F.col("_reason")), (F.col("_dup"), F.lit("duplicate_exact"))]
     if filter_first:
         tests.reverse()
@@ -60,6 +71,24 @@ def fill_quotas(records: DataFrame, quotas: DataFrame, order: list[str], *, item
     return records.join(settled, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(order, keys)]).drop(*keys)
 
 
+def _one_by_one(state: DataFrame, start: int, end: int) -> DataFrame:
+    """(_pos, _acc, _open, _dup) of the rows from ``start`` up to ``end``, in order; those before are settled. The rows are bounded in number, and narrow."""
+    part = state.filter((F.col("_pos") >= start) & (F.col("_pos") < end))
+    before = state.filter((F.col("_pos") < start) & F.col("_acc"))
+    used = {r["_item"]: r["t"] for r in before.filter("not _h").groupBy("_item").agg(F.sum("_t").alias("t")).collect()}  # a row per plan item
+    seen = {r["_d"] for r in before.select("_d").join(part.select("_d").distinct(), "_d", "left_semi").distinct().collect()}
+    out = []
+    for r in part.select("_pos", "_item", "_t", "_d", "_h", "_ok", "_quota").orderBy("_pos").collect():
+        opened, again = used.get(r["_item"], 0) < r["_quota"], r["_d"] is not None and r["_d"] in seen
+        taken = r["_ok"] and opened and not again
+        if taken:
+            seen.add(r["_d"])
+            if not r["_h"]:
+                used[r["_item"]] = used.get(r["_item"], 0) + r["_t"]
+        out.append((r["_pos"], taken, opened, again))
+    return state.sparkSession.createDataFrame(out, "_pos long, _acc boolean, _open boolean, _dup boolean")
+
+
 def item_statistics(filled: DataFrame, quotas: DataFrame, *, item: str = "item_id", tokens: str = "tokens") -> DataFrame:
     """Per plan item: requested and accepted tokens, documents and holdouts; items without rows have zeros."""
     mine = (F.col("disposition") == "train").cast("long")

@@ -56,12 +56,12 @@ def detect_text_field(columns: list[str]) -> str:
     raise ValueError(f"no text column among {columns}")
 
 
-def simple_records(rows: DataFrame, dataset: str, split: str, *, text: str = "text", index: str = "row_index", source_id: str | None = None, already_nfkc: bool = False) -> DataFrame:
+def simple_records(rows: DataFrame, dataset: str, split: str, *, text: str = "text", index: str = "row_index", source_id: str | None = None, already_nfkc: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records of one dataset: ``id, dataset, split, source_id, text, text_sha256, num_chars`` beside the row index. Null texts and texts that normalize to nothing give no record."""
     own = F.col(source_id).cast("string") if source_id else F.lit(None).cast("string")
     sid = F.coalesce(own, F.col(index).cast("string"))
-    out = rows.filter(F.col(text).isNotNull()).select(F.col(index), sid.alias("source_id"), normal_form(F.col(text), already_nfkc).alias("_n")).filter("_n.chars > 0")
-    return out.select(index, F.concat_ws("/", F.lit(dataset), F.lit(split), "source_id").alias("id"), F.lit(dataset).alias("dataset"), F.lit(split).alias("split"), "source_id", F.col("_n.text").alias("text"), F.col("_n.sha256").alias("text_sha256"), F.col("_n.chars").alias("num_chars"))
+    out = rows.filter(F.col(text).isNotNull()).select(F.col(index), *keep, sid.alias("source_id"), normal_form(F.col(text), already_nfkc).alias("_n")).filter("_n.chars > 0")
+    return out.select(index, *keep, F.concat_ws("/", F.lit(dataset), F.lit(split), "source_id").alias("id"), F.lit(dataset).alias("dataset"), F.lit(split).alias("split"), "source_id", F.col("_n.text").alias("text"), F.col("_n.sha256").alias("text_sha256"), F.col("_n.chars").alias("num_chars"))
 
 
 def _required(value: Column, message: str) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.text import word_tokens
 from corpusloom.operators.aggregates import quantile_higher
 from corpusloom.operators.windows import prefix_sums
+from corpusloom.session import store
 
 # Fixed values.
 #: Largest token id of each storage type.
@@ -86,7 +87,7 @@ def shard_statistics(offsets: DataFrame, shard_size: int, group: list[str] | Non
     return shard_pieces(offsets, shard_size, keep=group or []).groupBy(*(group or []), "shard_index").agg(F.sum("length").alias("num_tokens"), F.count("*").alias("pieces"))
 
 
-def build_shards(df: DataFrame, order: list[str], shard_size: int, *, ids: str = "ids", eos_id: int | None = 1, group: list[str] | None = None, dtype: str = "uint16") -> DataFrame:
+def build_shards(df: DataFrame, order: list[str], shard_size: int, *, ids: str = "ids", eos_id: int | None = 1, group: list[str] | None = None, dtype: str = "uint16", keep_ids: bool = True) -> DataFrame:
     """Token shards of an exact size, as rows (group, shard_index, ids, num_tokens, payload, byte_size, sha256).
 
     Every document is followed by the end token, if one is given; the stream is cut at exact multiples of the shard size. A shard is put
@@ -106,26 +107,29 @@ def build_shards(df: DataFrame, order: list[str], shard_size: int, *, ids: str =
     piece = F.slice("_ids", F.col("start").cast("int") + 1, F.col("length").cast("int"))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("place", piece.alias("part")))), lambda x: x["part"])
     shards = pieces.groupBy(*group, "shard_index").agg(F.flatten(parts).alias("ids")).withColumn("num_tokens", F.size("ids").cast("long"))
-    return pack_bytes(shards, dtype)
+    return pack_bytes(shards, dtype, keep_ids)
 
 
-def pack_bytes(shards: DataFrame, dtype: str = "uint16") -> DataFrame:
-    """Adds ``payload, byte_size, sha256`` to shards of ids. Ids that don't fit the type are an error."""
+def pack_bytes(shards: DataFrame, dtype: str = "uint16", keep_ids: bool = True) -> DataFrame:
+    """Adds ``payload, byte_size, sha256`` to shards of ids, which are dropped unless kept. Ids that don't fit the type are an error. With large shards set
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` to 1."""
     limit, width = DTYPE_LIMITS[dtype], 2 if dtype == "uint16" else 4
-    schema = T.StructType([*shards.schema.fields, T.StructField("payload", T.BinaryType())])
+    schema = T.StructType([*[f for f in shards.schema.fields if keep_ids or f.name != "ids"], T.StructField("payload", T.BinaryType())])
     at = shards.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for b in batches:
-            out = []
-            for ids in b.column(at).to_pylist():
-                a = np.asarray(ids, np.int64)
+            lists = b.column(at)
+            flat, ends, out = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(), []
+            for lo, hi in zip(ends, ends[1:]):  # slices of one array; no id becomes a Python object
+                a = flat[lo:hi]
                 if len(a) and (a.min() < 0 or a.max() > limit):
                     raise ValueError(f"token id out of range for {dtype}")
                 out.append(a.astype(f"<u{width}").tobytes())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [f.name for f in schema])
+            columns = [c for i, c in enumerate(b.columns) if keep_ids or i != at]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], [f.name for f in schema])
 
     return shards.mapInArrow(run, schema).withColumn("byte_size", F.octet_length("payload").cast("long")).withColumn("sha256", F.sha2("payload", 256))
 
@@ -168,7 +172,7 @@ def tokenizer_metrics(encoded: DataFrame, by: list[str] | None = None, *, text:
     """Documents, tokens, bytes, words, tokens per word over all, and the median and 95th percentile per document (higher rank), by each single
     dimension and over all. ``dimension`` is ``all`` or the column's name, ``value`` its value."""
     rows = encoded.select(*(by or []), F.size(ids).cast("long").alias("t"), F.octet_length(text).cast("long").alias("b"), F.size(word_tokens(F.col(text))).cast("long").alias("w"))
-    rows = rows.withColumn("r", F.col("t") / F.greatest(F.col("w"), F.lit(1)))
+    rows = store(rows.withColumn("r", F.col("t") / F.greatest(F.col("w"), F.lit(1))), "token-figures")  # texts are encoded once; sums and quantiles read narrow rows
     pairs = [F.struct(F.lit("all").alias("dimension"), F.lit(None).cast("string").alias("value")), *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in by or []]]
     long = rows.select("t", "b", "w", "r", F.explode(F.array(*pairs)).alias("k")).select("k.*", "t", "b", "w", "r").filter("dimension = 'all' or value is not null")
     sums = long.groupBy("dimension", "value").agg(F.count("*").alias("documents"), F.sum("t").alias("tokens"), F.sum("b").alias("utf8_bytes"), F.sum("w").alias("words"))
@@ -198,11 +202,14 @@ def pretoken_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train_bpe(df: DataFrame, text: str = "text", *, vocabulary: int = 8192, min_count: int = 2, special: tuple[str, ...] = ("<|pad|>", "<|eos|>", "<|bos|>", "<|unk|>"), max_pieces: int = 2_000_000) -> str:
-    """A byte-level byte-pair tokenizer as JSON. Counting pieces is distributed; merging runs on the driver over the ``max_pieces`` most frequent distinct pieces, a documented
-    bound on the training vocabulary (the tokenizer still encodes every text). Every piece weighs its full count, whatever the size of the input. Ties of counts go by piece, those of pairs by id."""
+    """A byte-level byte-pair tokenizer as JSON. Counting pieces is distributed; merging runs on the driver over the distinct pieces with at least
+    ``min_count`` occurrences, which may be no more than ``max_pieces``: beyond that it is an error, and ``min_count`` is to be raised (the tokenizer still encodes every text). Every piece weighs its full count, whatever the size of the input. Ties of counts go by piece, those of pairs by id."""
     from tokenizers import AddedToken, Tokenizer, decoders, models, pre_tokenizers
 
-    top = pretoken_counts(df, text).filter(F.col("count") >= min_count).orderBy(F.col("count").desc(), "piece").limit(max_pieces)
+    counted = store(pretoken_counts(df, text).filter(F.col("count") >= min_count), "pieces")
+    if (n := counted.count()) > max_pieces:
+        raise ValueError(f"{n} distinct pieces occur {min_count} times or more, and {max_pieces} may be merged on the driver: raise min_count")
+    top = counted.orderBy(F.col("count").desc(), "piece")
     vocab, merges = _merge_pairs(((r["piece"], r["count"]) for r in top.toLocalIterator()), vocabulary, special)
     tok = Tokenizer(models.BPE(vocab=vocab, merges=merges))
     tok.pre_tokenizer, tok.decoder = pre_tokenizers.ByteLevel(add_prefix_space=False), decoders.ByteLevel()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.hashing import EXCLUSIVE, hash_fraction, hash_split, json_sha256
 from corpusloom.functions.repetition import measure_repetition, summarize_generations
 from corpusloom.functions.scalars import item_id
-from corpusloom.functions.text import casefold_col
 from corpusloom.operators.aggregates import breakdowns, disposition_counts, license_counts, overlap, stage_measures
 from corpusloom.operators.evaluation import conversion_counts, convert_benchmark, loss_summary, paired_losses, unequal_seeds
-from corpusloom.operators.filters import QualityPolicy, contains_any, quality_report, rejection_reasons
+from corpusloom.operators.filters import QualityPolicy, contains_any, rejection_reasons
 from corpusloom.operators.quota import audit_quotas, fill_quotas, item_statistics, require_filled
 from corpusloom.operators.records import Source, simple_records, source_records
 from corpusloom.operators.tokens import encode, fertility, round_trip_failures, tokenizer_metrics, train_bpe
@@ -25,15 +24,16 @@ from corpusloom.sources.readers import Loader, with_row_index
 from corpusloom.sources.sinks import publish, split_metadata, write_shards
 
 
-def judged(records: DataFrame, policy: QualityPolicy, patterns: list[str], *, position: str) -> DataFrame:
-    """Records with ``contaminated`` and ``reason``. Patterns are looked for in rows of an accepted length only."""
+def judged(records: DataFrame, policy: QualityPolicy, patterns: list[str], *, position: str, matcher: Callable[[DataFrame, str, list[str]], DataFrame] = contains_any) -> DataFrame:
+    """Records with ``contaminated`` and ``reason``. Patterns are looked for in rows of an accepted length only, by ``matcher`` if one is given: a function of
+    (records, text column, patterns) that adds the boolean ``contaminated``. Normalization and matching run once; the duplicates are found on what is stored."""
     if not policy.enabled:
         return records.withColumn("contaminated", F.lit(False)).withColumn("reason", F.lit(None).cast("string"))
     right = F.col("num_chars") >= policy.min_chars
     if policy.max_chars is not None:
         right = right & (F.col("num_chars") <= policy.max_chars)
-    found = contains_any(records.withColumn("_probe", F.when(right, F.col("text"))), "_probe", patterns).drop("_probe")
-    return rejection_reasons(found, policy, position=position)
+    found = matcher(records.withColumn("_probe", F.when(right, F.col("text"))), "_probe", patterns).drop("_probe")
+    return rejection_reasons(store(found, "judged") if policy.exact_dedup else found, policy, position=position)
 
 
 def single_dataset(rows: DataFrame, dataset: str, split: str, policy: QualityPolicy, patterns: list[str] | None = None, *, text: str = "text", index: str = "row_index", source_id: str | None = None, validation_fraction: float = 0.0, already_nfkc: bool = False) -> DataFrame:
@@ -111,15 +111,6 @@ def train_and_measure(texts: DataFrame, vocabulary: int, by: list[str] | None =
     return made, tokenizer_metrics(encode(texts, made), by)
 
 
-def pipeline_report(records: DataFrame) -> DataFrame:
-    """Counts of a single-dataset build by reason."""
-    return quality_report(records)
-
-
-def folded(records: DataFrame, text: str = "text") -> DataFrame:
-    return records.withColumn("folded", casefold_col(F.col(text)))
-
-
 def tokenize_splits(records: DataFrame, tokenizer: str, path: str, order: list[str], *, split: str = "split", shard_size: int = 50_000_000, eos_id: int = 1, dtype: str = "uint16", replace: bool = False) -> dict[str, dict[str, Any]]:
     """Encode the texts of every split and write its token shards under ``path``; returns the metadata of each split. Splits are few."""
     import hashlib

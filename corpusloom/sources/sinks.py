@@ -11,9 +11,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.hashing import json_sha256, ordered_digest
+from corpusloom.functions.hashing import block_digest, json_sha256
 from corpusloom.operators.tokens import build_shards
 from corpusloom.operators.windows import prefix_sums
+from corpusloom.sources.paths import file_system
 
 
 def json_line(columns: list[str]) -> Any:
@@ -22,9 +23,7 @@ def json_line(columns: list[str]) -> Any:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
+    return (*file_system(spark, path), spark.sparkContext._jvm.org.apache.hadoop.fs.Path)
 
 
 def publish(spark: SparkSession, path: str, write: Callable[[str], None], verify: Callable[[str], None] | None = None, replace: bool = False) -> str:
@@ -56,9 +55,11 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None], verify
 
 
 def split_report(records: DataFrame, order: str, *, split: str = "split") -> DataFrame:
-    """Per split: documents, bytes of JSON lines, characters, and the ordered hash of hashes."""
+    """Per split: documents, bytes of JSON lines, characters, and an order-sensitive hash of hashes over blocks of rows, so that no row holds a split."""
     line = json_line([c for c in records.columns if c != order])
-    return records.groupBy(split).agg(F.count("*").alias("documents"), F.sum(F.octet_length(line).cast("long") + 1).alias("bytes"), F.sum("num_chars").alias("total_chars"), ordered_digest(F.col(order), F.col("text_sha256")).alias("documents_sha256"))
+    sums = records.groupBy(split).agg(F.count("*").alias("documents"), F.sum(F.octet_length(line).cast("long") + 1).alias("bytes"), F.sum("num_chars").alias("total_chars"))
+    placed = prefix_sums(records.select(split, order, "text_sha256"), [order], {"_at": F.lit(1)}, [split])
+    return sums.join(block_digest(placed, [split], "_at", "text_sha256").select(split, F.col("digest").alias("documents_sha256")), split)
 
 
 def write_splits(records: DataFrame, path: str, *, split: str = "split", order: str | None = None, caps: dict[str, int] | None = None, replace: bool = False) -> str:
@@ -83,13 +84,21 @@ def write_chunks(records: DataFrame, path: str, order: list[str], chunk_bytes: i
 def write_shards(documents: DataFrame, path: str, order: list[str], shard_size: int, *, eos_id: int = 1, dtype: str = "uint16", group: list[str] | None = None, replace: bool = False) -> str:
     """Binary token shards, one file each, written by the tasks that hold them, and a table of their metadata beside.
 
-    A task writes a shard under a temporary name and renames it, so a repeated or speculative task leaves one whole file. ``path`` must be a folder all machines share.
+    A task writes a shard under a temporary name and renames it, so a repeated or speculative task leaves one whole file. ``path`` must be a folder all machines share. On
+    any other file system than mounted folders (``hdfs:``, object stores) the shards are a Parquet table ``bin`` of their bytes, one row each, which Spark commits as a whole;
+    ``path`` in the metadata is then the name they would have.
     """
     spark = documents.sparkSession
-    shards = build_shards(documents, order, shard_size, eos_id=eos_id, group=group, dtype=dtype)
+    shards = build_shards(documents, order, shard_size, eos_id=eos_id, group=group, dtype=dtype, keep_ids=False)
     group = group or []
+    mounted = path.startswith("file:") or "://" not in path and file_system(spark, path)[0].getScheme() == "file"
 
     def write(staging: str) -> None:
+        if not mounted:
+            name = F.concat_ws("/", F.lit("bin"), *[F.concat(F.lit(f"{g}="), F.col(g).cast("string")) for g in group], F.format_string("shard_%05d.bin", F.col("shard_index").cast("long")))
+            shards.withColumn("path", name).write.parquet(f"{staging}/bin")
+            spark.read.parquet(f"{staging}/bin").drop("payload").write.parquet(f"{staging}/metadata")
+            return
         root = staging.removeprefix("file://").removeprefix("file:")
 
         def save(frames):
@@ -105,9 +114,9 @@ def write_shards(documents: DataFrame, path: str, order: list[str], shard_size:
                         os.fsync(out.fileno())
                     os.replace(part, name)
                     names.append(os.path.relpath(name, root))
-                yield pdf.drop(columns=["payload", "ids"]).assign(path=names)
+                yield pdf.drop(columns=["payload"]).assign(path=names)
 
-        schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in shards.schema if f.name not in ("payload", "ids")), "path string"])
+        schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in shards.schema if f.name != "payload"), "path string"])
         shards.mapInPandas(save, schema).write.parquet(f"{staging}/metadata")
 
     return publish(spark, path, write, replace=replace)

@@ -92,12 +92,14 @@ def test_raw_texts_are_brought_to_nfkc(spark, tmp_path):
     sha = {i: hashlib.sha256(t.encode()).hexdigest() for i, t in plain.items()}
     firsts = {i for i in sha if i == min(j for j in sha if sha[j] == sha[i])}
     assert len(firsts) == 6
-    assert {r.doc_id: r.text_sha256 for r in run("first_copies_nfkc")} == {i: sha[i] for i in firsts}
-    assert {r.doc_id for r in run("contamination_join_nfkc")} == {9, 10}
-    assert {r.source: r.documents_sha256 for r in run("documents_digest_nfkc")} == {s: hashlib.sha256("".join(sha[i] for i, _, x, *_ in docs if x == s and i in sha).encode()).hexdigest() for s in "ab"}
-    assert {r.row_index: r.disposition for r in run("quota_fill_nfkc")}[0] == "too_short"
-    assert {r.text_sha256 for r in run("accepted_documents_nfkc")} == set()
-    assert {r.reason: r.documents for r in run("reject_reasons_nfkc")} == {"too_short": 8, "benchmark_contamination": 2}
+    assert {r.doc_id: r.text_sha256 for r in run("first_copies")} == {i: sha[i] for i in firsts}
+    assert {r.doc_id for r in run("contamination_join")} == {9, 10}
+    assert {r.source: r.documents_sha256 for r in run("documents_digest")} == {s: hashlib.sha256("".join(sha[i] for i, _, x, *_ in docs if x == s and i in sha).encode()).hexdigest() for s in "ab"}
+    assert {r.row_index: r.disposition for r in run("quota_fill")}[0] == "too_short"
+    plans = {n: entry.queries()[n](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString() for n in ("flagship", "reject_reasons", "tokenizer_metrics")}
+    assert not any("ArrowEvalPython" in p for p in plans.values())  # texts are gone through once, into what is stored
+    assert {r.text_sha256 for r in run("accepted_documents")} == set()
+    assert {r.reason: r.documents for r in run("reject_reasons")} == {"too_short": 8, "benchmark_contamination": 2}
     duplicates = [r.row_index for r in run("quota_fill_deduplicated") if r.disposition == "duplicate_exact"]
     assert len(duplicates) == 1 and duplicates[0] in (9, 10)
     got = {tuple(r) for r in run("block_digests")}

@@ -297,3 +297,17 @@ def test_records(spark):
     assert [records.detect_text_field(c) for c in (["id", "story", "text"], ["content", "meta"], ["article", "url"], ["only"])] == ["text", "content", "article", "only"]
     with pytest.raises(ValueError):
         records.detect_text_field(["a", "b"])
+
+
+@pytest.mark.parametrize("rounds, stretch", [(12, 100_000), (2, 50)])
+def test_long_chains_of_duplicates_and_quotas_settle(spark, rounds, stretch):
+    """Each item's second hash is the next one's first, so every item waits for the one before."""
+    rows = []
+    for i in range(130):
+        for j, digest in enumerate((f"h{i}", f"h{i + 1}")):
+            rows.append({"pos": 2 * i + j, "item_id": f"i{i:03d}", "tokens": 1, "content_sha256": digest, "holdout": False, "reason": None})
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "pos long, item_id string, tokens long, content_sha256 string, holdout boolean, reason string")
+    quotas = {r["item_id"]: 1 for r in rows}
+    plan = spark.createDataFrame(list(quotas.items()), "item_id string, token_quota long")
+    got = {r.pos: r.disposition for r in quota.fill_quotas(df, plan, ["pos"], parallel_rounds=rounds, stretch=stretch).collect()}
+    assert got == sequential(rows, quotas)
