@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import nfkc
 from corpusloom.llm import kernels as K
 
-# Common function words by language.
+#: Function words by language; a window is read in the language with most of them. Korean words are told by their last syllable, Japanese ones by hiragana.
 FUNCTION_WORDS = {
     "en": "the a an of in on at to for from by with as and or but not no nor is are was were be been being am has have had do does did will would shall should can could may might must that this these those which who whom whose what when where why how if then than so because while although though after before since until unless whether it its he his him she her they their them we our us you your i my me there here all any each every some such most more only also into over under about between through during against within without upon yet still both either neither just up out off",
     "de": "der die das den dem des ein eine einer eines einem einen und oder aber nicht kein keine ist sind war waren wird werden wurde wurden hat haben hatte von vom zu zum zur mit bei nach aus auf für über unter zwischen durch gegen ohne um als wie wenn weil dass ob auch nur noch schon man wir sie er es ich ihr in im am an so dann bis vor seit jede jeder jedes diese dieser dieses sich hier alle muss soll kann",
@@ -22,6 +22,17 @@ FUNCTION_WORDS = {
     "it": "il lo la i gli le un uno una di del della dei delle da in nel nella con su per tra fra e o ma non è sono era erano ha hanno che chi cui come quando dove se anche più si suo sua questo questa ogni tutti al alla",
     "pt": "o a os as um uma de do da dos das em no na nos nas por para com sem sobre entre e ou mas não é são era foi tem que quem como quando onde se seu sua mais também cada todo toda este esta ao à pelo pela",
     "nl": "de het een van in op te en of maar niet geen is zijn was waren wordt werd heeft had met voor door aan bij uit naar over onder tussen om als dat die dit deze er ook nog al wel zo dan wij zij hij ze ik",
+    "sv": "och att det som en ett den på är av för med till inte om har de var vid från eller men när så kan ska efter under över mellan också denna detta dessa sin sitt hon han vi ni sig hade skulle genom utan alla mycket där här",
+    "da": "og at det som en et den på er af for med til ikke om har de var ved fra eller men når så kan skal efter under over mellem også denne dette disse sin sit hun han vi sig havde ville gennem uden alle meget hvor her blev være",
+    "pl": "się nie na do to że jest jak ale po co tak za od przez dla jego jej już tylko był była było być może przy bez oraz lub który która które także ich ten ta te tym tego przed nad pod gdy są został została więc czy",
+    "cs": "se je na to že ale do by si jsem jako pro po od které který která tak však také nebo před při už být byl byla bylo jsou jeho její jen ještě než když podle mezi pod nad ve ze ke aby co",
+    "fi": "ja on ei että se oli hän mutta myös kun niin kuin tai sekä ovat ole joka jotka tämä sen hänen jos vain vielä sitten mukaan kanssa ennen jälkeen olla olivat",
+    "tr": "ve bir bu da de için ile olarak olan çok daha ancak gibi kadar sonra olduğu ne o en her ise ya değil var yok onun bunu şu ki mi",
+    "ru": "и в не на что с по а как это к из у за от о для но же то все так его она он они мы вы бы был была были было быть или при до если только уже еще когда где чтобы этот эта эти который которая которые также после перед без под над во со их ее",
+    "uk": "і в не на що з та як це до у за від про для але же то все так його вона він вони ми ви був була були було бути або при якщо тільки вже ще коли де щоб цей ця ці який яка які також після перед без під над їх її й",
+    "el": "και το η ο να του της την τα των στο στη με για από που δεν είναι θα τον οι ένα μια ως αλλά ή σε στην στον κατά μετά αυτό αυτή",
+    "ko": "은 는 이 가 을 를 에 의 로 과 와 도 다 고 며 서 면 지 나 게 만 한 된 할 던 들 요 까 니",
+    "ja": "の は を に が で と も へ や から まで より です ます した する して いる ある",
     "zh": "的 了 在 是 不 和 都 就 也 而 且 如 果 那 么 我 们 因 此 当 候 之 后 可 以 这 个 应 该 被 比 更 对 从 到 把 与 或 为 有 没 其 他 她 它 你 您 会 能 要 所 很 但 又 还 上 中 下 着 过 得 地 等",
 }
 LANGUAGES = tuple(FUNCTION_WORDS)
@@ -30,9 +41,11 @@ for _bit, _lang in enumerate(LANGUAGES):
     for _word in FUNCTION_WORDS[_lang].split():
         _MASKS[_word] = _MASKS.get(_word, 0) | 1 << _bit
 
+_KOREAN_ENDS = frozenset(FUNCTION_WORDS["ko"].split())
+
 #: Kinds of tokens; a distribution over them is what profiles are compared by.
 KINDS = ("function", "plain", "capital", "number", "stop", "symbol", "line")
-# Share of each kind in typical text of a structure, in the order of KINDS. Prose comes in several forms: with and without
+#: Share of each kind in typical text of a structure, in the order of KINDS, set by hand from samples of such texts. Prose comes in several forms: with and without
 # marks, hard-wrapped, in Chinese, where every character is a word, numbered with many marks, and with every word capitalized.
 PROFILES = {
     "prose": ((0.42, 0.40, 0.06, 0.01, 0.10, 0.00, 0.01), (0.45, 0.48, 0.04, 0.02, 0.00, 0.00, 0.01), (0.38, 0.38, 0.07, 0.02, 0.08, 0.00, 0.07), (0.30, 0.60, 0.00, 0.01, 0.08, 0.00, 0.01), (0.30, 0.42, 0.12, 0.03, 0.11, 0.01, 0.01), (0.34, 0.33, 0.07, 0.05, 0.16, 0.03, 0.02), (0.42, 0.03, 0.43, 0.01, 0.10, 0.00, 0.01), (0.45, 0.02, 0.48, 0.02, 0.00, 0.00, 0.03)),
@@ -82,6 +95,11 @@ class _TokenKinds(dict):
         if not token[0].isalnum():
             return _SYMBOL
         mask = _MASKS.get(token.lower(), 0) << 3
+        if token[0] >= "\u3041":  # kana and Hangul stand in runs that aren't single words
+            if all("\u3041" <= c <= "\u309f" for c in token):
+                mask |= 8 << LANGUAGES.index("ja")
+            elif "\uac00" <= token[-1] <= "\ud7a3" and token[-1] in _KOREAN_ENDS and len(token) > 1:
+                mask |= 8 << LANGUAGES.index("ko")
         if len(token) > 28 or any(c.isdigit() for c in token):
             return _NUMBER
         if len(token) > 1 and token.isupper():
@@ -170,7 +188,7 @@ def describe(text: str, repeated_below: float = 0.34) -> dict:
     else:
         other = {s: v for s, v in share.items() if s != "prose"}
         structure = max(other, key=other.get) if other and max(other.values()) > 0 else "empty" if not share else "prose"
-    common = _MASKS
+    bit = 1 << LANGUAGES.index(lang) if lang else 0
     return {
         "chars": len(text),
         "words": len(words),
@@ -179,7 +197,7 @@ def describe(text: str, repeated_below: float = 0.34) -> dict:
         "digit_ratio": by["digit"] / visible,
         "lines": len(lines),
         "ended_lines": sum(x[-1] in ".!?:;\"')»”’。！？" for x in lines) / len(lines) if lines else 0.0,
-        "common_words": sum(w in common for w in words) / len(words) if words else 0.0,
+        "common_words": sum(_KINDS[w] >> 3 & bit > 0 for w in words) / len(words) if words else 0.0,
         "distinct_trigrams": distinct,
         "prose_share": prose,
         "language": lang,
@@ -200,7 +218,7 @@ def text_quality(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     runs of three words aren't mostly repetitions (``repeated``); else it has the structure of most of the rest.
 
     Returns ``doc_id, chars, words, mean_word_length, symbol_ratio, digit_ratio, lines, ended_lines`` (share of non-empty lines that end in
-    punctuation), ``common_words`` (share of words that are function words), ``distinct_trigrams, prose_share, language, structure``.
+    punctuation), ``common_words`` (share of words that are function words of the text's language), ``distinct_trigrams, prose_share, language, structure``.
 
     Null texts give no row; an empty text is ``empty`` with zeros. Whole texts are read. Repeated rows give repeated rows; an empty
     table gives none. Other columns are ignored. One pass, no shuffle.

@@ -161,3 +161,20 @@ def test_split_table(spark):
         joined += b.text[a.end - b.start :]
     assert joined == PROSE * 900
     assert splitting.split_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("lang, text", [
+    ("sv", "Solen gick upp över den lilla staden när barnen vaknade. De sprang ut på gatan och lekte tills modern ropade att det var dags för frukost. Det hade regnat hela natten, men nu var himlen klar."),
+    ("pl", "Rano poszliśmy nad rzekę, ponieważ pogoda była bardzo ładna. Moja siostra powiedziała, że nie chce się kąpać, więc została na brzegu i czytała książkę. Po południu wróciliśmy do domu."),
+    ("ru", "Утром мы пошли к реке, потому что погода была очень хорошая. Моя сестра сказала, что не хочет купаться, и осталась на берегу с книгой. Вечером мы вернулись домой, где нас уже ждал ужин."),
+    ("ko", "아침에 우리는 날씨가 아주 좋아서 강으로 갔다. 내 동생은 수영하고 싶지 않다고 말하고 강가에 남아 책을 읽었다. 저녁에 우리는 집으로 돌아왔고 어머니가 저녁을 준비하고 있었다."),
+    ("ja", "朝、天気がとてもよかったので、私たちは川へ行きました。妹は泳ぎたくないと言って、岸に残って本を読んでいました。夕方になって家に帰ると、母が夕食を作って待っていました。"),
+])
+def test_prose_in_further_languages(lang, text):
+    got = quality.describe(text)
+    assert got["structure"] == "prose" and got["language"] == lang and got["common_words"] > 0.2
+
+
+def test_common_words_are_those_of_the_language():
+    text = "The valve will die when the pressure rises. It is opened by the engine and closed by a spring."
+    assert quality.describe(text)["common_words"] < quality.describe(text.replace("die", "not"))["common_words"]
