@@ -17,7 +17,7 @@ from corpusloom.operators import audits, evaluation, filters, quota, records, ru
 from corpusloom.plans import pipelines
 from corpusloom.session import new_path
 from corpusloom.sources.readers import with_row_index
-from corpusloom.streaming import incremental
+from corpusloom.streaming import incremental, onepass
 
 #: A public byte-level tokenizer; queries that need one read it from here.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -596,6 +596,23 @@ def incremental_units(t):
     return incremental.build_state(spark, folder).drop("units")
 
 
+@_query(f"""WITH {_DOCS}, h AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY doc_id) = 1 AND num_chars >= {_MIN_CHARS} AS ok, {_HEX.format('sha')} / 18446744073709551616.0::DOUBLE < 0.1 AS held, greatest(1, ceil(num_chars / 4.0))::BIGINT AS tokens FROM docs)
+    SELECT (SELECT count(*) FROM nfkc_documents WHERE text IS NOT NULL) AS raw, count(*) AS "read", count(*) FILTER (ok) AS accepted, count(*) FILTER (ok AND held) AS held_out, count(*) FILTER (ok AND NOT held) AS corpus,
+    (SELECT count(*) FROM nfkc_documents WHERE text IS NOT NULL) - count(*) FILTER (ok) AS rejected, coalesce(sum(tokens) FILTER (ok AND NOT held), 0)::BIGINT AS quota_tokens FROM h""")
+def one_pass_build(t):
+    """The documents as one source through sealed and journaled units, in a folder of its own."""
+    d = t("documents").filter("text is not null").select(F.col("doc_id").alias("row_index"), "text")
+    spark = d.sparkSession
+    source = records.Source(id="documents", name="documents")
+    plan = {"stage": "main", "buffer_size": 64, "seed": 42, "validation_fraction": 0.1, "items": [{"item_id": "documents", "source_id": "documents", "token_quota": 1 << 50}]}
+    limits = onepass.UnitLimits(rows=1 << 40, text_bytes=1 << 60, tokens=1 << 60, free_bytes=0)
+    build = onepass.OnePassBuild(spark, new_path(spark, "one-pass"), {"documents": source}, [plan], lambda *_: d, {"input": "documents"}, policy=filters.QualityPolicy(min_chars=_MIN_CHARS), limits=limits)
+    state = build.run()
+    c = state["counters"]
+    row = (*(c[k] for k in ("raw", "read", "accepted", "held_out", "corpus", "rejected")), sum(i["actual"] for i in state["items"].values()))
+    return spark.createDataFrame([row], "raw long, read long, accepted long, held_out long, corpus long, rejected long, quota_tokens long")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
