@@ -134,11 +134,19 @@ def conversion_counts(converted: DataFrame) -> DataFrame:
 
 
 def asset_problems(items: DataFrame, categories: list[str], *, id_: str = "id", category: str = "category") -> DataFrame:
-    """(id, problem) of ids that repeat, ids that don't begin with their category, and unknown categories."""
+    """(id, problem) of ids and contents that repeat, ids that don't begin with their category, unknown categories, and, with a null id, categories without an item.
+    Contents are looked at where there are ``prompt`` and ``choices``."""
     repeated = items.groupBy(id_).count().filter("count > 1").select(F.col(id_).alias("id"), F.lit("repeated id").alias("problem"))
     rules = F.array(F.when(~F.coalesce(F.col(category).isin(categories), F.lit(False)), "unknown category"), F.when(~F.coalesce(F.startswith(F.col(id_), F.col(category)), F.lit(False)), "id doesn't begin with its category"))
     broken = items.select(F.col(id_).alias("id"), F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("problem"))
-    return repeated.unionByName(broken)
+    wanted = items.sparkSession.createDataFrame([(c,) for c in categories], "_wanted string")  # a handful
+    absent = wanted.join(items.select(F.col(category).alias("_wanted")).distinct(), "_wanted", "left_anti").select(F.lit(None).cast("string").alias("id"), F.concat(F.lit("no item of the category "), "_wanted").alias("problem"))
+    out = repeated.unionByName(broken).unionByName(absent)
+    if {"prompt", "choices"} <= set(items.columns):
+        same = items.groupBy("prompt", "choices").agg(F.count("*").alias("_n"), F.min(id_).alias("id")).filter("_n > 1").select("id", F.lit("repeated prompt and choices").alias("problem"))
+        blank = items.filter((F.trim(F.coalesce("prompt", F.lit(""))) == "") | F.coalesce(F.exists("choices", lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""), F.lit(True)))
+        out = out.unionByName(same).unionByName(blank.select(F.col(id_).alias("id"), F.lit("empty prompt or choice").alias("problem")))
+    return out
 
 
 def check_results(results: DataFrame, claimed: DataFrame, category: str = "category", tolerance: float = TIE) -> DataFrame:

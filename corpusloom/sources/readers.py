@@ -140,6 +140,16 @@ def read_choice_items(spark: SparkSession, path: str) -> DataFrame:
     return items.withColumn("id", F.when(F.count("*").over(over) > 1, F.raise_error(F.concat(F.lit("repeated id: "), F.col("id"))).cast("string")).otherwise(F.col("id")))
 
 
+def read_story_prompts(spark: SparkSession, path: str) -> DataFrame:
+    """Prompts (id, category, text) from JSON lines; a missing field, a repeated id or a repeated text is an error."""
+    rows = spark.read.schema("id string, category string, text string").option("mode", "FAILFAST").json(path)
+    lacking = rows.filter(F.array_contains(F.transform(F.array("id", "category", "text"), lambda c: F.coalesce(F.trim(c), F.lit("")) == ""), True))
+    for what, bad in (("a field is missing", lacking), ("an id repeats", rows.groupBy("id").count().filter("count > 1")), ("a text repeats", rows.groupBy("text").count().filter("count > 1"))):
+        if first := bad.limit(1).collect():
+            raise ValueError(f"{what}: {first[0][0]!r}")
+    return rows
+
+
 def read_review_key(spark: SparkSession, path: str) -> DataFrame:
     """(review_id, checkpoint_label, generation_id, prompt_id, generation_seed) from one JSON object keyed by review."""
     entry = "map<string, struct<checkpoint_label: string, generation_id: string, prompt_id: string, generation_seed: bigint>>"
@@ -156,10 +166,16 @@ def require_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     return df
 
 
-def read_verified_split(spark: SparkSession, root: str, manifest: DataFrame, split: str, schema: T.StructType = RECORD) -> DataFrame:
-    """The records of a split from the files its manifest (split, path, size, sha256; paths below ``root``) lists, once all of them are proven to be there unchanged. A manifest has a row per file."""
+def read_verified_split(spark: SparkSession, root: str, manifest: DataFrame | None, split: str, schema: T.StructType = RECORD) -> DataFrame:
+    """The records of a split from the files its manifest (split, path, size, sha256; paths below ``root``) lists, once all of them are proven to be there unchanged. A manifest has a row per file.
+    A corpus without a manifest is one of the older form, ``SPLIT.jsonl`` below ``root``."""
     from corpusloom.operators.audits import verify_files
+    from corpusloom.sources.paths import exists
 
+    if manifest is None:
+        if not exists(spark, f"{root}/{split}.jsonl"):
+            raise FileNotFoundError(f"{root} has neither a manifest nor {split}.jsonl")
+        return read_records(spark, f"{root}/{split}.jsonl", schema)
     mine = manifest.filter(F.col("split") == split)
     paths = [r.path for r in mine.select("path").toLocalIterator()]
     if not paths:
