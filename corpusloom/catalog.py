@@ -15,7 +15,7 @@ from corpusloom.functions.text import casefold_col, nfkc_col, normal_form, norma
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import audits, evaluation, filters, quota, records, runs, tokens, windows
 from corpusloom.plans import pipelines
-from corpusloom.session import new_path
+from corpusloom.session import new_path, store
 from corpusloom.sources.readers import with_row_index
 from corpusloom.streaming import incremental, onepass
 
@@ -271,7 +271,8 @@ _QUOTA = 6000
 def _quota_rows(t) -> DataFrame:
     """Documents of every source in shuffled windows, with estimated tokens."""
     d = _documents(t).withColumnRenamed("doc_id", "row_index")
-    d = windows.shuffled_windows(d.select("row_index", "source_id", F.col("row_index").cast("string").alias("document_id"), F.col("text_sha256").alias("content_sha256"), "num_chars"), 16, 42)
+    narrow = store(d.select("row_index", "source_id", F.col("row_index").cast("string").alias("document_id"), F.col("text_sha256").alias("content_sha256"), "num_chars"), "quota-documents")  # texts are normalized once
+    d = store(windows.shuffled_windows(narrow, 16, 42), "quota-rows")
     held = H.hash_fraction(F.col("content_sha256"), H.EXCLUSIVE) < 0.1
     return d.withColumns({"item_id": F.col("source_id"), "tokens": F.greatest(F.lit(1), F.ceil(F.col("num_chars") / 4)).cast("long"), "holdout": held, "reason": F.when(F.col("num_chars") < _MIN_CHARS, "too_short")})
 
