@@ -299,7 +299,7 @@ class BatchDeduper:
         return self.spark.read.schema("sha string").parquet(*self.forest.fresh) if self.forest.fresh else None
 
     def _sets(self, kind: str, ids: DataFrame) -> DataFrame:
-        return gram_sets(only(self.texts[kind], store(ids.distinct(), "located-ids")), self.forest.ngram).dropDuplicates(["id"])
+        return gram_sets(only(self.texts[kind], ids.distinct()), self.forest.ngram).dropDuplicates(["id"])
 
     def _links(self, pairs: DataFrame, kind: str, mine: DataFrame, theirs: DataFrame) -> DataFrame:
         """Of stored pairs (a, b), those that are near-same: by their labels first, then by all n-grams of the whole texts."""
