@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of a block, the unit in which arrays are merged.
-BLOCK = 1 << 16
+BLOCK = 1 << 18
 
 
 def slots(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -30,9 +31,9 @@ def has_bits(mask: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def blocks_of(array: np.ndarray) -> list[tuple[int, bytes]]:
-    """The blocks of an array that aren't all zero."""
-    raw = array.tobytes()
-    return [(i, b) for i in range(0, (len(raw) + BLOCK - 1) // BLOCK) if (b := raw[i * BLOCK : (i + 1) * BLOCK]).strip(b"\\0")]
+    """The blocks of an array that aren't all zero, compressed."""
+    raw = memoryview(array.reshape(-1).view(np.uint8))
+    return [(i // BLOCK, zlib.compress(b, 1)) for i in range(0, len(raw), BLOCK) if np.any(b := raw[i : i + BLOCK])]
 
 
 def merge(blocks: DataFrame, kind: type, op: Callable, size: int, finish: Callable = lambda x: x, fan: int = 64) -> np.ndarray:
@@ -46,10 +47,10 @@ def merge(blocks: DataFrame, kind: type, op: Callable, size: int, finish: Callab
         def run(table: pa.Table) -> pa.Table:
             total = None
             for data in table.column("data").to_pylist():
-                part = np.frombuffer(data, kind)
+                part = np.frombuffer(zlib.decompress(data), kind)
                 total = part.copy() if total is None else op(total, part)
             total = finish(total) if last else total
-            return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
+            return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
         return run
 
@@ -59,6 +60,6 @@ def merge(blocks: DataFrame, kind: type, op: Callable, size: int, finish: Callab
     zero = finish(np.zeros(per, kind))
     out = np.zeros(max(size, per), zero.dtype)
     for r in rows:
-        part = np.frombuffer(r["data"], zero.dtype)
+        part = np.frombuffer(zlib.decompress(r["data"]), zero.dtype)
         out[r["block"] * per : r["block"] * per + len(part)] = part
     return out[:size]

@@ -76,6 +76,53 @@ def test_overlap_is_brute_force(spark, hot):
         assert links.count() == 0 and overlap_counts(links, members, records).count() == 0
 
 
+@pytest.mark.parametrize("least", [0.6, 0.0])
+def test_blocks_of_evaluation_texts_are_brute_force(spark, least):
+    """Evaluation texts that go in many blocks, some of one size split by id, with frames that all share and lengths from three words on."""
+    rng = random.Random(31)
+    frame = " ".join(rng.choices(VOCAB, k=60))
+    texts = corpus(rng, 30) + [f"{frame} {' '.join(rng.choices(VOCAB, k=rng.choice([12, 30, 45, 60])))}" for _ in range(60)] + [" ".join(VOCAB[i : i + 3]) for i in range(5)]
+    texts += [edit(rng, t, s) for t in texts[-60:-5:3] for s in (0.02, 0.08)]
+    splits = {i: rng.choice(["train", "train", "holdout"]) for i in range(len(texts))}
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string")
+    links, members = cross_split_overlap(docs, spark.createDataFrame(list(splits.items()), "doc_id long, split string"), similarity=least, hits=4, block_keys=300)
+    got = {(r.eval_id, r.train_id) for r in expand(links, members).collect()}
+    sets, plain = [K.shingles(t, 3) for t in texts], [normalize(t) for t in texts]
+    want = set()
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            if splits[a] != "train" and splits[b] == "train":
+                both, j = K.jaccard(x, y)
+                if plain[a] == plain[b] or (len(x) and both / len(x) >= 0.6 and j >= least):
+                    want.add((a, b))
+    assert got == want and len(want) > 20
+
+
+def test_neither_texts_nor_hits_are_shuffled(spark):
+    """Too many ids to be broadcast, and a frame in all texts, so that every pair of them has hits: what is shuffled stays below the texts, which are read where they lie."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=24))
+    frame = " ".join(word() for _ in range(60))
+    texts = [f"{frame} {' '.join(word() for _ in range(90))}" for _ in range(1500)]
+    texts += [t[: t.rindex(" ")] for t in texts[:40]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    records = spark.createDataFrame([(i, "holdout" if i % 5 == 0 and i < 1500 else "train") for i in range(len(texts))], "doc_id long, split string")
+    docs.count()
+    executors = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    written = lambda: sum(executors().apply(i).totalShuffleWrite() for i in range(executors().size()))
+    before, limit = written(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links, members = cross_split_overlap(docs, records, similarity=0.6)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        moved = written() - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        docs.unpersist()
+    assert {(r.eval_id, r.train_id) for r in expand(links, members).collect()} == {(i, 1500 + i) for i in range(0, 40, 5)}
+    assert moved < sum(map(len, texts)) / 2
+
+
 def test_evaluation_text_within_a_long_training_text(spark):
     rng = random.Random(2)
     words = lambda n: " ".join(f"u{rng.randrange(3000)}" for _ in range(n))
